@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafgraph.llm import exact_dedup, license_scan, line_dedup, minhash_dedup, mixing
+from leafgraph.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, minhash_dedup, mixing
 from leafgraph.llm.store import table
 
 _UPPER, _LOWER = license_scan.UPPER, license_scan.LOWER
@@ -55,6 +55,22 @@ def _op2_sql() -> str:
     from d0 left join found using (doc_id)"""
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+_OP3_SQL = """
+    with recursive
+    v as (select vec_id, embedding::double[] as e from embeddings),
+    links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+              where list_dot_product(a.e, b.e) >= 0.95 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+    reach(vec_id, other) as (select vec_id, vec_id from v union
+                             select r.vec_id, l.b from reach r join links l on r.other = l.a),
+    n as (select a as vec_id, count(*) as n from links group by a)
+    select r.vec_id, coalesce(max(n.n), 0)::bigint as n_links, min(r.other) as component_id, min(r.other) = r.vec_id as kept
+    from reach r left join n using (vec_id) group by r.vec_id"""
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept = line_dedup.apply_keep_bitmaps(docs, line_dedup.line_keep_bitmaps(docs))
@@ -132,6 +148,7 @@ _OP9_SQL = rf"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
@@ -140,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": _op2_sql(),
+    "op3_embedding_dedup": _OP3_SQL,
     "op4_line_dedup": _OP4_SQL,
     "op7_minhash_dedup": _OP7_SQL,
     "op8_exact_dedup": _OP8_SQL,
