@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafgraph.llm import embedding_dedup, exact_dedup, license_scan, line_dedup, minhash_dedup, mixing
-from leafgraph.llm.store import table
+from leafgraph.llm import embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, minhash_dedup, mixing, toxicity
+from leafgraph.llm.store import arrow_batches, table
 
 _UPPER, _LOWER = license_scan.UPPER, license_scan.LOWER
 #: ASCII white space as DuckDB (RE2) writes it.
 _SPACE = r"[\x20\x09-\x0D]"
 
 
+def _fold(doc_id: Column, folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``; an id that is null counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_fold(F.col("doc_id"), 5) != 0)
+    model = toxicity.train(docs, labels)
+    arrow_batches(spark)
+    scored = docs.select("doc_id", toxicity.score_column(model)(F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", (_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -90,6 +106,14 @@ _OP4_SQL = rf"""
     from marked group by doc_id"""
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(_fold(F.col("doc_id"), 3) != 1))
+    labelled = language_id.label_languages(docs, model)
+    language, share = language_id.main_language(F.col("spans"))
+    return labelled.select("doc_id", (_fold(F.col("doc_id"), 3) == 1).alias("held_out"), language.alias("lang_pred"), share.alias("score"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -147,9 +171,11 @@ _OP9_SQL = rf"""
            (size * (floor(rate)::bigint + (draw < rate - floor(rate))::bigint))::bigint as taken from x"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_language_id": op5_language_id,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_source_mixing": op9_source_mixing,
