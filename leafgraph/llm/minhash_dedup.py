@@ -28,9 +28,9 @@ from leafgraph.llm.store import arrow_batches, small_side, stage
 
 WIDTH = 5
 #: Linked: PERCENT * union <= 100 * intersection.
-PERCENT = 85
-BANDS, ROWS = 16, 4
-#: The chance that a pair at the threshold shares no band: (1 - 0.85**4)**16 = 7e-6.
+PERCENT = 80
+#: The chance that a pair at the threshold shares no band: (1 - 0.8**4)**24 = 3e-6.
+BANDS, ROWS = 24, 4
 CHUNK = 256
 LEAVES = 64
 #: The circular shift between coordinates; odd, so that it reaches every place.
@@ -244,8 +244,8 @@ def near_duplicate_groups(
     return named.union(bare).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
+def keep_one_of_each_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document is its group's smallest id, or whose id is null; all columns stay."""
-    kept = near_duplicate_groups(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = near_duplicate_groups(docs, width, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
     identified = docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
     return identified.unionByName(docs.where("doc_id is null"))

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafgraph.llm import embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, minhash_dedup, mixing, toxicity
-from leafgraph.llm.store import arrow_batches, table
+from leafgraph.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    piece_codec,
+    token_rollup,
+    toxicity,
+)
+from leafgraph.llm.store import arrow_batches, scratch_root, stage, table
 
 _UPPER, _LOWER = license_scan.UPPER, license_scan.LOWER
 #: ASCII white space as DuckDB (RE2) writes it.
@@ -114,8 +126,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", (_fold(F.col("doc_id"), 3) == 1).alias("held_out"), language.alias("lang_pred"), share.alias("score"))
 
 
+def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces, and whether decoding them gives back its text."""
+    decoded = piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents")))
+    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"), percent=85)
 
 
 _OP7_SQL = rf"""
@@ -170,15 +189,39 @@ _OP9_SQL = rf"""
     select doc_id, size, source_size, target::double as target,
            (size * (floor(rate)::bigint + (draw < rate - floor(rate))::bigint))::bigint as taken from x"""
 
+def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two tokenizer versions after four commits.
+
+    All documents are inserted with their words and with a provisional token count (a quarter of their bytes), the
+    provisional counts of all documents are revised to the true ones, and one batch is committed a second time.
+    """
+    arrow_batches(spark)
+    text = F.col("text")
+    counts = table(spark, sf_dir, "documents").select(
+        "source", "lang", mixing.n_words(text).alias("words"),
+        F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / 4).alias("guess"), token_rollup.count_tokens(text).alias("tokens"),
+    )
+    counts = stage(counts, "token-counts")
+    rollup = token_rollup.Rollup(spark, f"{scratch_root(spark)}/leafgraph/{uuid.uuid4().hex}-rollup")
+    provisional = token_rollup.inserts(counts, "byte_bpe_50k", "guess")
+    rollup.commit("words", token_rollup.inserts(counts, "words-1", "words"))
+    rollup.commit("provisional", provisional)
+    rollup.commit("revised", token_rollup.revisions(counts, "byte_bpe_50k", "guess", "tokens"))
+    rollup.commit("provisional", provisional)  # again: no effect
+    return rollup.totals()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_license_scan": op2_license_scan,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_language_id": op5_language_id,
+    "op6_piece_codec": op6_piece_codec,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_source_mixing": op9_source_mixing,
+    "op10_token_rollup": op10_token_rollup,
 }
 
 ORACLE_SQL: dict[str, str] = {
