@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).resolve().parent
 
@@ -24,3 +27,20 @@ def ship_package(spark: SparkSession) -> None:
             archive.write(module, str(module.relative_to(_PACKAGE.parent)))
     context.addPyFile(path)
     context._leafgraph_shipped = True
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a folder of this process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="leafgraph-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for a table that several branches of a plan read."""
+    path = f"{shared_folder(df.sparkSession)}/leafgraph/{uuid.uuid4().hex}-{label}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
