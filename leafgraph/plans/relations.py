@@ -179,7 +179,7 @@ def blocks(d: Spark) -> str:
 @relation
 def nodes(d: Spark) -> str:
     """Typed blocks: the parse of each document."""
-    language = d.extract("raw", r"^ {0,3}(?:\x60\x60\x60+|~~~+)\s*([^\s\x60]*)", 1)
+    language = d.extract("raw", r"^ {0,3}(?:\x60\x60\x60+|~~~+)[ \t]*([^\s\x60]*)", 1)
     first_code = d.extract("raw", r"^[^\n]*\n\s*([A-Za-z]+)", 1)
     separator = d.matches("raw", r"^[^\n]*[|][^\n]*\n\s*[|]?[\s:|-]*-[ \t:|-]*(\n|$)")
     return f"""
