@@ -98,6 +98,8 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     for text, language in rows:
         by.setdefault(language, []).append(text or "")
     languages = sorted(by, key=lambda x: (-len(by[x]), x))
+    if not languages:
+        return Model([], np.zeros((2 << BITS, 0), dtype=np.float32), np.zeros((len(SCRIPTS), 0), dtype=bool))
     counts = np.zeros((2 << BITS, len(languages)), dtype=np.float64)
     scripts = np.zeros((len(SCRIPTS), len(languages)))
     for k, language in enumerate(languages):

@@ -69,7 +69,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     powers, _ = _power_table(len(hashes) + width + 1)
     rolled = np.zeros(max(0, len(hashes) - width + 1), dtype=np.uint64)
-    for k in range(width):
+    for k in range(width if len(rolled) else 0):
         rolled += hashes[k : len(hashes) - width + 1 + k] * powers[k + 1]
     rolled = mix64(rolled)
     at = 0
