@@ -50,6 +50,15 @@ def semantic_tokens(d: Spark) -> str:
 
 @relation
 def token_coverage(d: Spark) -> str:
+    """Counts and coverage of each document: tokens put together again are the text, so each is its own slice of it."""
+    if d.name == "spark":  # inside the row: nothing is exploded or shuffled
+        pieces = d.all_matches("text", rules.TOKEN)
+        blank = d.matches("t", f"^[{rules.SPACES}]+$")
+        return f"""
+        select doc_id, cast(size(pieces) as bigint) as n_tokens, cast(size(filter(pieces, t -> not {blank})) as bigint) as n_semantic,
+               array_join(pieces, '') = text as is_full_coverage,
+               not exists(pieces, t -> length(t) = 0) and aggregate(pieces, 0, (n, t) -> n + length(t)) = length(text) as slices_agree
+        from (select doc_id, text, {pieces} as pieces from documents_md) x"""
     rebuilt = d.joined("t.text", "''", "t.token_ix")
     return f"""
     select x.doc_id, cast(count(t.token_ix) as bigint) as n_tokens,
