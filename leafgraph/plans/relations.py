@@ -11,7 +11,7 @@ from collections.abc import Callable
 from functools import cache
 
 from leafgraph.plans import rules
-from leafgraph.plans.dialect import Spark
+from leafgraph.plans.dialect import SPARK, Spark
 
 RELATIONS: dict[str, Callable[[Spark], str]] = {}
 
@@ -786,10 +786,8 @@ def validation_report(d: Spark) -> str:
 
 
 @cache
-def _needs(name: str) -> tuple[str, ...]:
-    from leafgraph.plans.dialect import SPARK
-
-    text = RELATIONS[name](SPARK)
+def _needs(name: str, dialect: Spark = SPARK) -> tuple[str, ...]:
+    text = RELATIONS[name](dialect)
     return tuple(r for r in RELATIONS if r != name and re.search(rf"(?:from|join)\s+{r}\b", text))
 
 
@@ -809,9 +807,7 @@ def closure(name: str) -> list[str]:
 
 @cache
 def uses(name: str, of: str) -> int:
-    """How often ``of`` is read when the plan of ``name`` is written out without sharing."""
-    from leafgraph.plans.dialect import SPARK
-
+    """How often ``of`` is read when Spark's plan of ``name`` is written out without sharing."""
     if name == of:
         return 1
     text = RELATIONS[name](SPARK)
@@ -828,7 +824,7 @@ def compile_sql(name: str, dialect: Spark, documents: str | None = None, given:
 
     def visit(n: str) -> None:
         if n not in given:
-            for need in _needs(n):
+            for need in _needs(n, dialect):
                 visit(need)
         if n not in order:
             order.append(n)
