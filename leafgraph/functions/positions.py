@@ -61,3 +61,8 @@ def cosine(a: Column, b: Column) -> Column:
 
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.coalesce(F.when((F.size(a) == F.size(b)) & (norm > 0), dot(a, b) / norm), F.lit(0.0))
+
+
+def numeric_id(value: Column) -> Column:
+    """The number of ids like ``T5``, ``token_5`` or ``5``; null for others."""
+    return F.regexp_extract(value, r"^(?:T|token_)?(\d+)$", 1).try_cast("int")

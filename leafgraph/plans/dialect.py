@@ -5,6 +5,7 @@ from __future__ import annotations
 
 class Spark:
     name = "spark"
+    size = "array_size"
 
     def rx(self, pattern: str) -> str:
         return "r'" + pattern + "'"
@@ -45,6 +46,7 @@ class Spark:
 
 class DuckDb(Spark):
     name = "duckdb"
+    size = "len"
 
     def rx(self, pattern: str) -> str:
         return "'" + pattern + "'"

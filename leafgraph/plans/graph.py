@@ -38,6 +38,18 @@ RELATIONS: dict[str, Callable[[Spark], str]] = {
         select r.doc_id, r.id, {d.matches("r.id", "^R_[0-9]+$")} as id_ok, r.src <> r.dst as no_self_loop, a.id is not null as source_exists,
                b.id is not null as target_exists
         from relationships r left join entities a on a.doc_id = r.doc_id and a.id = r.src left join entities b on b.doc_id = r.doc_id and b.id = r.dst""",
+    "predicate_checks": lambda d: f"""
+        select doc_id, id, lower(relation_type) as predicate, {d.matches("lower(relation_type)", "^[a-z_]+$")} as predicate_ok,
+               case when src is not null then 1 else 0 end + case when dst is not null then 1 else 0 end as argument_count
+        from relationships""",
+    "cluster_checks": lambda d: f"""
+        select concat('TC_', cast(label as string)) as id, count(*) as members, {d.matches("concat('TC_', cast(label as string))", "^TC_[0-9]+$")} as id_ok,
+               count(*) >= 1 as members_ok, max({d.size}(embedding)) as embedding_dim from embeddings group by label""",
+    "coreference": lambda d: """
+        select a.doc_id, a.id as first_id, b.id as second_id from entities a join entities b
+        on a.doc_id = b.doc_id and a.label = b.label and a.id < b.id""",
+    "relation_confidence": lambda d: """
+        select id, confidence * ln(evidence_tokens + 1) / ln(max(evidence_tokens) over (partition by doc_id) + 1) as weighted from relationships""",
     "graph_totals": lambda d: """
         select e.doc_id, e.entities, coalesce(r.relationships, 0) as relationships
         from (select doc_id, count(*) as entities from entities group by doc_id) e

@@ -782,6 +782,95 @@ def validation_report(d: Spark) -> str:
     from (select * from validation_v1 union all select * from validation_v2) v group by doc_id"""
 
 
+@relation
+def validation_v0(d: Spark) -> str:
+    """Input gate: what would be rejected before it is tokenised or parsed."""
+    return f"""
+    select doc_id, text is not null as is_present, coalesce({d.matches("text", r"[^\s]")}, false) as is_not_blank,
+           not coalesce({d.matches("text", r"^\x{FEFF}")}, false) as has_no_byte_order_mark from documents_md"""
+
+
+@relation
+def v13_keys(d: Spark) -> str:
+    """Semantic tokens without a place in the token table, either way round."""
+    return """
+    select coalesce(s.doc_id, t.doc_id) as doc_id, coalesce(s.char_start, t.char_start) as char_start, s.doc_id is null as missing_token,
+           t.doc_id is null as missing_metadata
+    from semantic_tokens s full outer join (select * from tokens where token_type = 'semantic') t
+         on t.doc_id = s.doc_id and t.char_start = s.char_start
+    where s.doc_id is null or t.doc_id is null"""
+
+
+@relation
+def v24_orphans(d: Spark) -> str:
+    return """select p.doc_id, p.inst_ix, p.parent_ix from parents p left join instances i on i.doc_id = p.doc_id and i.inst_ix = p.parent_ix
+    where i.inst_ix is null"""
+
+
+@relation
+def v24_cycles(d: Spark) -> str:
+    return "select doc_id, inst_ix from nesting_depth where in_cycle"
+
+
+@relation
+def hierarchy_flat(d: Spark) -> str:
+    """Pre-order of the containment tree."""
+    return """
+    select i.doc_id, i.inst_ix, g.depth, cast(row_number() over (partition by i.doc_id order by i.char_start, i.char_end desc, g.depth, i.inst_ix) - 1 as int)
+           as preorder from instances i join nesting_depth g on g.doc_id = i.doc_id and g.inst_ix = i.inst_ix"""
+
+
+@relation
+def tree_totals(d: Spark) -> str:
+    return f"""select doc_id, cast(count(*) as bigint) as total_nodes, max(depth) as max_depth, cast(count(case when depth = 0 then 1 end) as bigint) as roots,
+    max(depth) <= {rules.LEVELS} as within_limit from nesting_depth group by doc_id"""
+
+
+@relation
+def component_tokens_forward(d: Spark) -> str:
+    """Tokens that begin inside a component: the overlap without the token that reaches into it."""
+    return """
+    select c.doc_id, c.component_id, min(t.token_ix) as token_min, max(t.token_ix) as token_max
+    from components c join tokens t on t.doc_id = c.doc_id and t.char_start >= c.char_start and t.char_start < c.char_end
+    group by c.doc_id, c.component_id"""
+
+
+@relation
+def preset_spans(d: Spark) -> str:
+    """Tokens of spans that are given, inclusive at both ends: only ids that exist count."""
+    return """
+    select p.doc_id, p.component_id, cast(count(t.token_ix) as bigint) as resolved, cast(max(p.token_max - p.token_min + 1) as bigint) as given
+    from component_tokens p left join tokens t on t.doc_id = p.doc_id and t.token_ix between p.token_min and p.token_max
+    group by p.doc_id, p.component_id"""
+
+
+@relation
+def item_tree(d: Spark) -> str:
+    """The item that each list item is nested under: the last one before it with a smaller indent."""
+    return """
+    select doc_id, char_start, item_ix, max(above_ix) as parent_item_ix
+    from (select a.doc_id, a.char_start, a.item_ix, b.item_ix as above_ix from list_items a left join list_items b
+          on b.doc_id = a.doc_id and b.char_start = a.char_start and b.item_ix < a.item_ix and b.indent < a.indent) x
+    group by doc_id, char_start, item_ix"""
+
+
+@relation
+def topics(d: Spark) -> str:
+    """The heading that each block stands under."""
+    heading = d.last_known("case when layer_type = 'heading' then block_id end", "partition by doc_id order by block_id")
+    return f"""select doc_id, block_id, layer_type, {heading} as heading_block from nodes"""
+
+
+@relation
+def semantic_units(d: Spark) -> str:
+    """Words and discourse markers of paragraphs, and which are long enough to be split at a marker."""
+    return f"""
+    select doc_id, block_id, n_words, n_markers, n_words > 150 and n_markers > 0 as may_split
+    from (select doc_id, block_id, cast(coalesce({d.size}({d.all_matches("raw", r"[^\s]+")}), 0) as int) as n_words,
+          cast(coalesce({d.size}({d.all_matches("lower(raw)", r"(?:however|therefore|moreover|finally|in contrast)")}), 0) as int) as n_markers
+          from nodes where layer_type = 'paragraph') x"""
+
+
 # ---- composition ----------------------------------------------------------------------------------------------------
 
 

@@ -30,6 +30,10 @@ def test_cosine(spark):
     assert value(spark, positions.cosine(a, F.array(F.lit(0.0), F.lit(0.0)))) == 0.0
 
 
+def test_numeric_ids(spark):
+    assert [value(spark, positions.numeric_id(F.lit(x))) for x in ("T5", "token_12", "7", "x1", "T")] == [5, 12, 7, None, None]
+
+
 def test_builders(spark):
     made = components.create("heading", F.lit("# T"), F.lit(0), F.lit(3), level=F.lit(1), text=F.lit("T"))
     assert value(spark, made).component_id == "heading:0-3" and value(spark, components.is_valid("heading", made))

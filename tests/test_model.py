@@ -166,6 +166,23 @@ def test_nesting_rules():
     assert not {"metadata", "footnote"} & {c for _, c in nesting_pairs()} and "diagram" not in NESTING["blockquote"][0]
 
 
+def test_topics_and_item_tree(spark):
+    docs = documents(spark, "intro\n\n# A\n\ntext\n\n- one\n  - two\n    - three\n- four\n")
+    under = {(r.layer_type, r.heading_block is None) for r in relation("topics", docs).collect()}
+    assert under == {("paragraph", True), ("heading", False), ("paragraph", False), ("list", False)}
+    got = rows(relation("item_tree", docs), "item_ix", "parent_item_ix")
+    assert got == [(0, None), (1, 0), (2, 1), (3, None)]
+
+
+def test_gates(spark):
+    got = rows(relation("validation_v0", documents(spark, "x", " \n", "\ufeffy")), "doc_id", "is_not_blank", "has_no_byte_order_mark")
+    assert got == [(0, True, True), (1, False, True), (2, True, False)]
+    docs = documents(spark, COMPLEX)
+    assert all(relation(n, docs).count() == 0 for n in ("v13_keys", "v24_orphans", "v24_cycles"))
+    total = relation("tree_totals", docs).first()
+    assert total.total_nodes == 19 and total.max_depth == 1 and relation("hierarchy_flat", docs).count() == 19
+
+
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert relation("components", nothing).count() == 0 and relation("validation_report", nothing).count() == 0
