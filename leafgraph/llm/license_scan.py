@@ -17,7 +17,8 @@ NEAR = 2
 #: Share of a template's runs that a place must hold.
 LEAST = 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words.  Splitting at it is several times as fast as extracting the words themselves.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The phrases and labels of the contract.
 BASE = [
@@ -46,7 +47,7 @@ MORE = [
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), GAP), "")
 
 
 def _runs(of: str) -> Column:
@@ -124,8 +125,7 @@ def scan_licenses(
         F.max("coverage").alias("best"),
     )
     found = found.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), "starts", "base", "all", "best")
-    lower = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    counted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.regexp_count(lower, F.lit(WORD)).alias("n_words"))
+    counted = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).alias("n_words"))
     joined = counted.join(found, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__text")), "left")
     return joined.select(
         "doc_id",
