@@ -51,12 +51,9 @@ def words(text: Column) -> Column:
 
 
 def _runs(of: str) -> Column:
-    """The hash of each run of ``K`` words of an array column, by position."""
-    return F.expr(
-        f"case when size({of}) >= {K} then transform(sequence(0, size({of}) - {K}), i -> xxhash64("
-        + ", ".join(f"{of}[i + {j}]" for j in range(K))
-        + ")) end"
-    )
+    """Each run of ``K`` words of an array column, joined by spaces, by position."""
+    run = ", ".join(f"{of}[i + {j}]" for j in range(K))
+    return F.expr(f"case when size({of}) >= {K} then transform(sequence(0, size({of}) - {K}), i -> concat_ws(' ', {run})) end")
 
 
 def templates(spark: SparkSession, phrases: list[tuple[str, str]], base: list[tuple[str, str]]) -> DataFrame:
@@ -67,9 +64,9 @@ def templates(spark: SparkSession, phrases: list[tuple[str, str]], base: list[tu
         if len(split) < K:
             raise ValueError(f"a template has {K} words at least: {phrase!r}")
         for i in range(len(split) - K + 1):
-            rows.append((number, label, number < len(base), len(split) - K + 1, i, split[i : i + K]))
-    found = spark.createDataFrame(rows, "template int, label string, is_base boolean, runs int, t int, t_words array<string>")
-    return found.withColumn("run", F.expr("xxhash64(" + ", ".join(f"t_words[{j}]" for j in range(K)) + ")"))
+            rows.append((number, label, number < len(base), len(split) - K + 1, i, " ".join(split[i : i + K])))
+    found = spark.createDataFrame(rows, "template int, label string, is_base boolean, runs int, t int, t_words string")
+    return found.withColumn("run", F.xxhash64("t_words"))
 
 
 def license_places(
@@ -83,8 +80,9 @@ def license_places(
     spark = docs.sparkSession
     known = F.broadcast(templates(spark, MORE if phrases is None else phrases, BASE if base is None else base))
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
-    runs = read.select("doc_id", "text_hash", "w", F.posexplode(_runs("w")).alias("at", "run"))
-    hits = runs.join(known, "run").where(" and ".join(f"w[at + {j}] = t_words[{j}]" for j in range(K)))
+    # a run takes its own words along, not its document's: rows stay small however long the document is
+    runs = read.select("doc_id", "text_hash", F.posexplode(_runs("w")).alias("at", "run_words"))
+    hits = runs.withColumn("run", F.xxhash64("run_words")).join(known, "run").where("run_words = t_words")
     diagonal = hits.groupBy("doc_id", "text_hash", "template", "label", "is_base", "runs", (F.col("at") - F.col("t")).alias("diagonal"))
     diagonal = diagonal.agg(F.collect_set("t").alias("votes"))  # a template's runs at most
     place = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
