@@ -228,6 +228,16 @@ def test_license_scan(spark):
     assert got[5].n_words == 0 and got[7].score == 0.5
 
 
+def test_license_scan_of_a_long_document(spark):
+    """Work grows with the words of a document, not with their square."""
+    n = 20_000
+    rows = [(1, "Under the MIT License, you\nsee: CC-BY-NC étude 2 " * n, None, None), (2, "", None, None)]
+    found = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, rows)).collect()}
+    assert (found[1].n_words, found[1].n_base, found[1].first_word, found[1].last_word) == (11 * n, 2 * n, 0, 11 * (n - 1) + 6)
+    assert (found[1].base_labels, found[1].labels, found[1].score) == ("cc-by-nc,mit", "cc-by-nc,mit", 1.0)
+    assert (found[2].n_words, found[2].n_base, found[2].first_word, found[2].labels) == (0, 0, None, "")
+
+
 # ---- 9: mixing --------------------------------------------------------------------------------------------------------
 
 
