@@ -218,6 +218,8 @@ _MARKS = (
     r"\x60\x60.+?\x60\x60|\x60[^\x60\n]+\x60|!\[[^\]]*\]\([^)]+\)|\[\^[^\]]+\]|\[[^\]]+\]\([^)]+\)|\[[^\]]+\]\[[^\]]*\]"
     r"|<https?://[^>]+>|<[a-zA-Z][a-zA-Z0-9]*(?:\s[^>]*)?/?>|</[a-zA-Z][a-zA-Z0-9]*>"
 )
+#: The markers that a line of a list begins with: a star among them opens no emphasis.
+_ITEM = r"\n[ \t>]*(?:(?:[*+-]|[0-9]+[.)])[ \t\x0B\f\r]+){1,20}"
 _EMPHASIS = r"\x60[^\x60\n]+\x60|\*\*\*[^*\n]+\*\*\*|\*\*[^*\n]+\*\*|\*[^*\n]+\*|~~[^~\n]+~~"
 
 
@@ -243,8 +245,11 @@ def marks(d: Spark) -> str:
 
 @relation
 def emphasis(d: Spark) -> str:
-    skip = "layer_type not in ('code_block', 'diagram', 'indented_code_block', 'metadata', 'html_block', 'horizontal_rule', 'list', 'task_list')"
-    tiles = _tiles(d, "nodes", "doc_id, block_id", "raw", "char_start", _EMPHASIS, r"[^\x60*~]+|[\x60*~]", skip)
+    skip = "layer_type not in ('code_block', 'diagram', 'indented_code_block', 'metadata', 'html_block', 'horizontal_rule')"
+    # a line feed in front, so that the first line begins like the others
+    tiles = _tiles(
+        d, "nodes", "doc_id, block_id", "concat(chr(10), raw)", "char_start - 1", f"{_ITEM}|{_EMPHASIS}", r"[^\x60*~\n]+|[\x60*~\n]", skip
+    )
     return f"""
     select doc_id, block_id, hit, char_start, char_end,
            case when hit like '***%' then 'bold_italic' when hit like '**%' then 'bold' when hit like '*%' then 'italic' else 'strikethrough' end

@@ -129,6 +129,26 @@ def test_html(spark):
     assert rows(relation("html_inline", docs), "tag_name", "is_self_closing") == [("br", True), ("kbd", False), ("kbd", False)]
 
 
+def test_emphasis_in_lists(spark):
+    texts = (
+        "- first item\n  - nested item\n- second **bold** item\n\n1. one\n2. *two*",
+        "* star *it* one\n  * inner **b**\n* plain\n* ~~gone~~ end",
+        "- [ ] do *this*\n- [x] ***done***\n\n> * quoted *q*\n> * again",
+    )
+    docs = documents(spark, *texts)
+    got = relation("emphasis", docs).collect()
+    assert all(texts[r.doc_id][r.char_start : r.char_end] == r.hit for r in got)
+    found = {(r.doc_id, r.emphasis_type, r.hit) for r in got}
+    assert found >= {
+        (0, "bold", "**bold**"), (0, "italic", "*two*"), (1, "italic", "*it*"), (1, "bold", "**b**"), (1, "strikethrough", "~~gone~~"),
+        (2, "italic", "*this*"), (2, "bold_italic", "***done***"), (2, "italic", "*q*"),
+    }
+    assert sorted(r.hit for r in got if r.emphasis_type == "italic") == ["*it*", "*q*", "*this*", "*two*"]
+    parents = {(r.doc_id, r.inst_ix): r for r in relation("components", docs).collect()}
+    bold = next(r for r in parents.values() if r.raw_content == "**bold**")
+    assert parents[0, bold.parent_ix].layer_type == "list"
+
+
 def test_token_owner_and_coverage(spark):
     docs = documents(spark, "# Title\n\nHello world.\n")
     got = relation("coverage_stats", docs).first()
