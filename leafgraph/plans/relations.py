@@ -220,7 +220,14 @@ _MARKS = (
 )
 #: The markers that a line of a list begins with: a star among them opens no emphasis.
 _ITEM = r"\n[ \t>]*(?:(?:[*+-]|[0-9]+[.)])[ \t\x0B\f\r]+){1,20}"
-_EMPHASIS = r"\x60[^\x60\n]+\x60|\*\*\*[^*\n]+\*\*\*|\*\*[^*\n]+\*\*|\*[^*\n]+\*|~~[^~\n]+~~"
+_CODE, _FILLER = r"\x60[^\x60\n]+\x60", r"[^\x60*~\n]+|[\x60*~\n]"
+#: Emphasis types, their markers and patterns: each is scanned for by itself, and hits may overlap.
+_EMPHASIS = {
+    "bold_italic": ("***", r"\*\*\*[^\n]+?\*\*\*"),
+    "bold": ("**", r"\*\*[^\n]+?\*\*"),
+    "italic": ("*", r"\*[^*\n]+\*"),
+    "strikethrough": ("~~", r"~~[^\n]+?~~"),
+}
 
 
 def _tiles(d: Spark, source: str, keep: str, text: str, base: str, match: str, filler: str, where: str) -> str:
@@ -245,17 +252,24 @@ def marks(d: Spark) -> str:
 
 @relation
 def emphasis(d: Spark) -> str:
+    """Four scans; an italic marker is a star alone, so for that scan runs of stars are masked in a copy of equal length."""
     skip = "layer_type not in ('code_block', 'diagram', 'indented_code_block', 'metadata', 'html_block', 'horizontal_rule')"
+    kinds = d.values(", ".join(f"('{t}', '{marker}')" for t, (marker, _) in _EMPHASIS.items()), "v", "emphasis_type, marker")
+    single = "replace(replace(replace(body, chr(1), ' '), '**', concat(chr(1), chr(1))), concat(chr(1), '*'), concat(chr(1), chr(1)))"
     # a line feed in front, so that the first line begins like the others
-    tiles = _tiles(
-        d, "nodes", "doc_id, block_id", "concat(chr(10), raw)", "char_start - 1", f"{_ITEM}|{_EMPHASIS}", r"[^\x60*~\n]+|[\x60*~\n]", skip
+    source = f"""(select doc_id, block_id, emphasis_type, marker, raw, char_start, concat(chr(10), raw) as body
+        from nodes cross join ({kinds}) k where {skip} and position(marker in raw) > 0) s"""
+    scans = " ".join(
+        f"when '{t}' then {d.all_matches(single if t == 'italic' else 'body', f'{_ITEM}|{_CODE}|{pattern}|{_FILLER}')}"
+        for t, (_, pattern) in _EMPHASIS.items()
     )
+    tiled = d.explode(source, "doc_id, block_id, emphasis_type, marker, raw, char_start", f"case emphasis_type {scans} end", "pos", "tile")
     return f"""
-    select doc_id, block_id, hit, char_start, char_end,
-           case when hit like '***%' then 'bold_italic' when hit like '**%' then 'bold' when hit like '*%' then 'italic' else 'strikethrough' end
-           as emphasis_type,
-           {d.extract("hit", r"^(\*+|~~)", 1)} as marker, {d.replace("hit", r"^(\*+|~~)|(\*+|~~)$", "")} as text
-    from ({tiles}) t where length(hit) > 2 and {d.matches("hit", r"^(\*|~~)")}"""
+    select doc_id, block_id, substring(raw, place + 1, width) as hit, char_start + place as char_start, char_start + place + width as char_end,
+           emphasis_type, marker, substring(raw, place + length(marker) + 1, width - 2 * length(marker)) as text
+    from (select t.*, cast(length(tile) as int) as width, cast(sum(length(tile)) over (partition by doc_id, block_id, emphasis_type order by pos
+                 rows between unbounded preceding and current row) - length(tile) - 1 as int) as place from ({tiled}) t) u
+    where width > 2 * length(marker) and tile like concat(marker, '%')"""
 
 
 @relation

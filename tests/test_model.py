@@ -1,7 +1,13 @@
 """The document model on literal documents with results worked out by hand."""
 
+import random
+import re
+
+import duckdb
 import pytest
 from leafgraph.operators import analyse, classify, relation
+from leafgraph.plans.dialect import DUCKDB
+from leafgraph.plans.relations import compile_sql
 from leafgraph.plans.rules import NESTING, nesting_depths, nesting_pairs
 
 
@@ -149,6 +155,30 @@ def test_emphasis_in_lists(spark):
     assert parents[0, bold.parent_ix].layer_type == "list"
 
 
+#: The four scans of the reference.
+SCANS = {
+    "bold_italic": r"\*\*\*(.+?)\*\*\*",
+    "bold": r"\*\*(.+?)\*\*",
+    "italic": r"(?<!\*)\*(?!\*)(.+?)(?<!\*)\*(?!\*)",
+    "strikethrough": r"~~(.+?)~~",
+}
+
+
+def test_emphasis_is_four_scans(spark):
+    draw = random.Random(5)
+    texts = ["**bold with *it* inside**", "***now***", "*a **b** c*", "~~*x* **y**~~", "\x01*a* \x01**b**", "*a `b* c`"]
+    texts += ["x" + "".join(draw.choices("***~~ab \x01", k=draw.randint(1, 24))) + "z" for _ in range(400)]
+    want = {(i, t, m.start(), m.end(), m[0], m[1]) for i, x in enumerate(texts) for t, p in SCANS.items() for m in re.finditer(p, x)}
+    columns = "doc_id, emphasis_type, char_start, char_end, hit, text"
+    got = [tuple(r) for r in relation("emphasis", documents(spark, *texts)).select(*columns.split(", ")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {(0, "bold", "**bold with *it* inside**"), (0, "italic", "*it*")} == {(g[0], g[1], g[4]) for g in got if g[0] == 0}
+    duck = duckdb.connect()
+    duck.execute("create table documents_md (doc_id bigint, text varchar)")
+    duck.executemany("insert into documents_md values (?, ?)", list(enumerate(texts)))
+    assert set(duck.sql(f"select {columns} from ({compile_sql('emphasis', DUCKDB)}) q").fetchall()) == want
+
+
 def test_token_owner_and_coverage(spark):
     docs = documents(spark, "# Title\n\nHello world.\n")
     got = relation("coverage_stats", docs).first()
