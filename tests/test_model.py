@@ -196,6 +196,13 @@ def test_validation_passes(spark):
     assert all(r.all_passed for r in got) and len(got) == 2
 
 
+def test_overlapping_spans_fail(spark):
+    texts = ["*a `b* c`", "*a* `b` and **c**", "one  \n\n    code", "**bold with *it* inside**", "- x *a `b* c`", "# A *b*\n\n> `c` [d](e)"]
+    docs = documents(spark, *texts)
+    rows_of = relation("validation_v2", docs).where("check_id = 'V2.3'")
+    assert rows(rows_of, "doc_id", "passed", "failures") == [(0, False, 1), (1, True, 0), (2, True, 0), (3, False, 1), (4, False, 1), (5, True, 0)]
+
+
 def test_strict_analysis_rejects_blank_documents(spark):
     assert set(analyse(documents(spark, CONTRACT), strict=True)) > {"tokens", "components"}
     with pytest.raises(ValueError):
