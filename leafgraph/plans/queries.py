@@ -58,6 +58,7 @@ _add("markdown_corpus", markdown_corpus, markdown_corpus_sql(DUCKDB))
 _add("conversation_documents", _turns, _TURNS)
 _add("conversation_coverage", lambda s, d: relation("token_coverage", _turns(s, d)), compile_sql("token_coverage", DUCKDB, _TURNS))
 _add("page_html_blocks", lambda s, d: relation("html_blocks", _pages(s, d)), compile_sql("html_blocks", DUCKDB, _PAGES))
+_add("page_html_inline", lambda s, d: relation("html_inline", _pages(s, d)), compile_sql("html_inline", DUCKDB, _PAGES))
 _add("page_html_attributes", lambda s, d: relation("html_attributes", _pages(s, d)), compile_sql("html_attributes", DUCKDB, _PAGES))
 _add(
     "layer_filter",

@@ -349,8 +349,12 @@ def html_blocks(d: Spark) -> str:
 
 @relation
 def html_attributes(d: Spark) -> str:
+    """Attributes of HTML blocks and of inline tags."""
     pattern = r"[a-zA-Z0-9_]+=\x22[^\x22]*\x22|[a-zA-Z0-9_]+=\x27[^\x27]*\x27"
-    found = d.explode("nodes", "doc_id, char_start", d.all_matches("raw", pattern), "pos", "pair", "layer_type = 'html_block'")
+    source = """(select doc_id, char_start, raw from nodes where layer_type = 'html_block'
+        union all select m.doc_id, m.char_start, m.hit from marks m
+                  join html_inline h on h.doc_id = m.doc_id and h.char_start = m.char_start where m.layer_type = 'html_inline') s"""
+    found = d.explode(source, "doc_id, char_start", d.all_matches("raw", pattern), "pos", "pair")
     return f"""
     select doc_id, char_start, cast(pos as int) as attr_ix, {d.extract("pair", r"^([a-zA-Z0-9_]+)=", 1)} as name,
            {d.extract("pair", r"=[\x22\x27](.*)[\x22\x27]$", 1)} as value from ({found}) f"""

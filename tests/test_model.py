@@ -135,6 +135,12 @@ def test_html(spark):
     assert rows(relation("html_inline", docs), "tag_name", "is_self_closing") == [("br", True), ("kbd", False), ("kbd", False)]
 
 
+def test_attributes_of_inline_tags(spark):
+    text = 'Press <kbd class="k" id=\'c\'>Ctrl</kbd>, <br/>, <p class="no">x</p> and `<b id="q">`.\n\n<div id="d">\ntext\n</div>'
+    got = rows(relation("html_attributes", documents(spark, text)), "char_start", "attr_ix", "name", "value")
+    assert got == [(6, 0, "class", "k"), (6, 1, "id", "c"), (text.index("<div"), 0, "id", "d")]
+
+
 def test_emphasis_in_lists(spark):
     texts = (
         "- first item\n  - nested item\n- second **bold** item\n\n1. one\n2. *two*",
