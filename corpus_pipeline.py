@@ -35,8 +35,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode what is left with merge-dropout: ``doc_id, n_pieces, pieces``, a row for each row of the mix."""
-    return piece_codec.encode(docs).select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
+    """Encode what is left with merge-dropout and decode it again: ``doc_id, n_pieces, pieces``, a row for each row of the mix.
+
+    A row whose pieces do not spell its text ends the run with an error.
+    """
+    decoded = piece_codec.decode(piece_codec.encode(docs))
+    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    lost = F.raise_error(F.concat(F.lit("pieces do not spell the text of document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    whole = decoded.where(F.when(lossless, F.lit(True)).otherwise(lost.cast("boolean")))
+    return whole.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

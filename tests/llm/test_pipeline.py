@@ -1,7 +1,8 @@
 """The pipeline's stages on the smallest table, each against what its own input demands."""
 
 import corpus_pipeline
-from leafgraph.llm import exact_dedup, minhash_dedup, mixing
+import pytest
+from leafgraph.llm import exact_dedup, minhash_dedup, mixing, piece_codec
 from leafgraph.llm.store import table
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +31,13 @@ def test_stages(spark):
 def test_run_is_the_stages(spark):
     first, again = (sorted((r.doc_id, r.n_pieces) for r in corpus_pipeline.run(spark, SF).collect()) for _ in range(2))
     assert first == again and first
+
+
+def test_pieces_are_decoded(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two"), (2, ""), (3, None), (None, "x")], "doc_id long, text string")
+    got = {(r.doc_id, r.n_pieces, len(r.pieces)) for r in corpus_pipeline.encode_pieces(spark, docs, SF).collect()}
+    assert {d for d, _, _ in got} == {1, 2, 3, None} and all(n == size for _, n, size in got)
+    encode = piece_codec.encode
+    monkeypatch.setattr(piece_codec, "encode", lambda docs: encode(docs).selectExpr("doc_id", "concat(text, '!') as text", "pieces"))
+    with pytest.raises(Exception, match="do not spell the text of document"):
+        corpus_pipeline.encode_pieces(spark, docs, SF).collect()
