@@ -30,17 +30,55 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a folder of this process."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset and all runs in this process (tests), a folder of its own.
+
+    On a cluster a machine's own folder would scatter the parts of a table over the executors, so that is refused.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="leafgraph-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+#: Tables that were written for a plan and not deleted since, by path.
+_staged: dict[str, SparkSession] = {}
+
+
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted with the tables written for plans."""
+    path = f"{shared_folder(spark)}/leafgraph/{uuid.uuid4().hex}-{label}"
+    _staged[path] = spark
+    return path
+
+
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again, for a table that several branches of a plan read."""
-    path = f"{shared_folder(df.sparkSession)}/leafgraph/{uuid.uuid4().hex}-{label}"
+    spark = df.sparkSession
+    path = staged_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the table that ``materialised`` wrote for this very frame.  Frames that read it can't be used afterwards."""
+    _delete(getattr(df, "_staged_at", None))
+
+
+def clear_staged() -> None:
+    """Delete all tables that were written for plans.  Frames that read them can't be used afterwards."""
+    for path in list(_staged):
+        _delete(path)
+
+
+def _delete(path: str | None) -> None:
+    spark = _staged.pop(path, None)
+    if spark is not None and spark.sparkContext._jsc is not None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
