@@ -2,56 +2,38 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafgraph.session import ship_package
+from leafgraph.session import clear_staged, materialised, shared_folder, ship_package, staged_path, unstage
 
 #: Rows of an Arrow batch.  Texts can be long, so a batch of the default 10,000 rows could hold a gigabyte.
 ARROW_ROWS = "2000"
+#: Bytes of an Arrow batch; only a single row can be larger.
+ARROW_BYTES = str(16 << 20)
 #: Largest table that is sent to every executor: ids or hashes of up to this many rows (16 MB at two longs a row).
 BROADCAST_ROWS = 1_000_000
 
 
+__all__ = ["arrow_batches", "clear_staged", "shared_folder", "shuffle_width", "small_side", "stage", "staged_path", "table", "unstage", "unused"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; where it is unset (tests), a folder of this process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="leafgraph-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+def unused(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    name = f"__{stem}"
+    while name in taken:
+        name += "_"
+    return name
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends here and lost executors cost no rerun."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/leafgraph/{uuid.uuid4().hex}-{label}"
-    df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_staged: dict[str, list[tuple[SparkSession, str]]] = {}
-
-
-def clear_staged() -> None:
-    """Delete the tables that ``stage`` wrote for live sessions.  Frames that read them can't be used afterwards."""
-    for entries in _staged.values():
-        for spark, path in entries:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    _staged.clear()
+    return materialised(df, label)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -60,13 +42,15 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def arrow_batches(spark: SparkSession, rows: str = ARROW_ROWS) -> None:
-    """Make the session ready for Python workers: they can import this package, and get batches of bounded rows.
+    """Make the session ready for Python workers: they can import this package, and get batches of bounded rows and bytes.
 
-    A bound that the session already has stays.
+    Bounds that the session already has stay.
     """
     ship_package(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") in (None, "10000"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b") in (None, "67108864b", "64MB"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,13 +1,14 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols: insult, threat, target, negation, reported speech, other.  Four small transducers read the symbols
-of a clause side by side (their composition is the tuple of their states) and, at each insult or threat, say whether it is
-negated, reported or aimed at someone.  A matched clause contributes the weight of its insult to the channel of what was
-said about it, and a logistic model weighs the channels.  Isolated words count for nothing but through a clause.
+Words become symbols: insult, threat, target, copula, determiner, mention, negation, reported speech, other.  Transducers
+for each of these read the tape of a clause and mark the insults and threats in their scope; their composition is one
+machine whose arcs are built as they are first taken.  What comes out of it names the pattern that the clause matches:
+an insult aimed at someone, said of someone, described, piled up, or standing bare, each unless it is negated, reported or
+only mentioned, and a threat that has someone it is aimed at.  A clause adds the weight of its insult to its pattern, and a
+logistic model weighs the patterns.  By the prior a bare insult does not make a text toxic; labels decide what it is worth.
 
 The insult lexicon is learned from labelled documents: words and word beginnings that stand in toxic documents far more
-often than in others, in several different contexts.  The channel weights are learned as well, from a prior that lets
-negation and reported speech soften a match.
+often than in others, in several different contexts.  The weights of the patterns are learned as well.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from leafgraph.llm.store import arrow_batches, stage
+from leafgraph.llm.store import arrow_batches, stage, unused
 
 #: Labelled documents of each class that the lexicon and the weights are learned from, and the most lexicon entries.
 MAX_LABELLED = 8000
@@ -40,12 +41,22 @@ LEAST_ODDS, LEAST_DOCS, LEAST_VARIETY, CONTEXTS = 2.5, 4, 0.6, 62
 SEED_ODDS, MOST = 4.0, 15.0
 
 # Seed words of the grammar in English, French, German and Spanish.
-INSULTS = "idiot moron imbecile scumbag bastard crétin abruti connard trottel vollidiot arschloch imbécil gilipollas"
+INSULTS = (
+    "idiot idiots moron morons imbecile scumbag scum bastard loser losers stupid pathetic worthless disgusting clown trash jerk"
+    " dumbass halfwit crétin abruti connard imbécile minable trottel vollidiot idioten arschloch versager abschaum imbécil"
+    " gilipollas idiota estúpido basura"
+)
 THREATS = (
     "kill murder destroy hurt beat stab shoot strangle tuer détruire frapper töten umbringen vernichten schlagen matar"
     " destruir golpear"
 )
-TARGETS = "you your yours yourself u ur tu toi vous votre du dich dir ihr euch usted ustedes vosotros ti"
+TARGETS = "you your yours yourself u ur tu toi te vous votre du dich dir ihr euch usted ustedes vosotros ti"
+COPULAS = "is are was were am be been being es est sont était suis sommes êtes ist sind war bin bist seid eres son soy fue era"
+DETERMINERS = (
+    "the a an this that these those such what le la les un une ce cet cette quel der die das ein eine einen dieser diese el los"
+    " las una este esta ese esa qué"
+)
+MENTIONS = "word words term noun letters spelling spelled syllables mot terme lettres wort begriff buchstaben palabra término letras"
 NEGATIONS = "not never no isn't aren't don't won't nobody ne pas jamais nicht nie kein keine nunca jamás"
 REPORTING = (
     "said says say saying wrote writes called calls quoted quote according reported claims claimed dit disait écrit sagte"
@@ -54,14 +65,17 @@ REPORTING = (
 
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE = re.compile(r"[.,;:!?\n|()\[\]]+")
-CHANNELS = ("plain", "aimed", "negated", "reported", "threat")
-#: Weights before any label is seen: of nothing, then of a unit of log odds in each channel.
-_PRIOR = np.array([-2.2, 1.0, 1.2, 0.4, 0.5, 1.0])
+#: What a clause can match, and the weights before any label is seen: of nothing, then of a unit of log odds in each pattern.
+PATTERNS = ("aimed", "predicated", "piled", "described", "bare", "negated", "reported", "mentioned", "threat")
+_PRIOR = np.array([-2.2, 1.2, 0.9, 0.6, 0.4, 0.3, 0.3, 0.4, 0.1, 1.0])
 _PULL = 0.3
 
 
 class Transducer:
-    """Arcs ``(state, symbol) -> (state, output)``; a symbol without an arc of its own takes the state's default arc."""
+    """Arcs ``(state, symbol) -> (state, mark)``; a symbol without an arc of its own takes the state's default arc.
+
+    A mark is put behind the symbol that is read, for the machines that read the tape after this one.
+    """
 
     def __init__(self, arcs: dict[tuple[int, str], tuple[int, str]]) -> None:
         self.arcs = arcs
@@ -70,47 +84,74 @@ class Transducer:
         return self.arcs.get((state, symbol)) or self.arcs.get((state, "*")) or (state, "")
 
 
-def _fading(trigger: str, reach: int, says: str) -> Transducer:
-    """After ``trigger``, the next ``reach`` symbols are in its scope: an insult or threat there outputs ``says``."""
+def _fading(trigger: str, reach: int, mark: str) -> Transducer:
+    """After ``trigger``, the next ``reach`` symbols are in its scope: an insult or threat there is marked."""
     arcs: dict[tuple[int, str], tuple[int, str]] = {}
     for state in range(reach + 1):
         arcs[state, trigger] = (reach, "")
         arcs[state, "*"] = (max(0, state - 1), "")
         for match in "IT":
-            arcs[state, match] = (max(0, state - 1), says if state else "")
+            arcs[state, match] = (max(0, state - 1), mark if state else "")
     return Transducer(arcs)
 
 
-def _lasting(trigger: str, says: str) -> Transducer:
+def _lasting(trigger: str, mark: str) -> Transducer:
     """From ``trigger`` to the end of the clause."""
     arcs = {(0, trigger): (1, ""), (1, trigger): (1, "")}
     for match in "IT":
-        arcs[0, match], arcs[1, match] = (0, ""), (1, says)
+        arcs[0, match], arcs[1, match] = (0, ""), (1, mark)
     return Transducer(arcs)
 
 
-_MATCHES = Transducer({(0, "I"): (0, "insult"), (0, "T"): (0, "threat")})
-GRAMMAR = (_MATCHES, _fading("N", 3, "negated"), _lasting("R", "reported"), _fading("P", 4, "aimed"))
-#: The target may also follow ("idiot that you are"): the same machine over the clause read backwards.
-_AFTER = _fading("P", 4, "aimed")
-
-
-def _outputs(symbols: list[str]) -> Iterator[tuple[int, set[str]]]:
-    states = [0] * len(GRAMMAR)
-    found: dict[int, set[str]] = {}
+class Composition:
+    """Machines that read one tape, each the marks of those before it; arcs are built when they are first taken."""
+
+    def __init__(self, *machines: Transducer) -> None:
+        self.machines, self.start = machines, (0,) * len(machines)
+        self._arcs: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], str]] = {}
+
+    def step(self, states: tuple[int, ...], symbol: str) -> tuple[tuple[int, ...], str]:
+        arc = self._arcs.get((states, symbol))
+        if arc is None:
+            then, marks = [], ""
+            for machine, state in zip(self.machines, states, strict=True):
+                state, mark = machine.step(state, symbol)
+                then.append(state)
+                marks += mark
+            arc = self._arcs[states, symbol] = (tuple(then), marks)
+        return arc
+
+
+#: Symbols: I insult, T threat, P target, C copula, D determiner, M mention, N negation, R reported speech, o other.
+#: Marks: a aimed, c predicated, d described, m mentioned, n negated, r reported, p after another insult.
+GRAMMAR = Composition(
+    _fading("P", 4, "a"), _fading("C", 3, "c"), _fading("D", 2, "d"), _fading("M", 2, "m"), _fading("N", 3, "n"), _lasting("R", "r"),
+    Transducer({(0, "I"): (1, ""), (1, "I"): (1, "p")}),
+)
+#: What may also follow ("idiot that you are", "idiot is a word"): over the clause read backwards.
+AFTER = Composition(_fading("P", 4, "a"), _fading("M", 3, "m"), Transducer({(0, "I"): (1, ""), (1, "I"): (1, "p")}))
+#: The pattern of an insult is the first of these whose mark it has.
+_ORDER = (("n", "negated"), ("r", "reported"), ("m", "mentioned"), ("a", "aimed"), ("c", "predicated"), ("p", "piled"), ("d", "described"))
+
+
+def matches(symbols: list[str]) -> Iterator[tuple[int, str]]:
+    """The places of a clause where a pattern matches, and which."""
+    marks: dict[int, str] = {}
+    states = GRAMMAR.start
     for i, symbol in enumerate(symbols):
-        said = set()
-        for k, machine in enumerate(GRAMMAR):
-            states[k], output = machine.step(states[k], symbol)
-            said.add(output)
+        states, found = GRAMMAR.step(states, symbol)
         if symbol in "IT":
-            found[i] = said
-    state = 0
+            marks[i] = found
+    states = AFTER.start
     for i in range(len(symbols) - 1, -1, -1):
-        state, output = _AFTER.step(state, symbols[i])
-        if i in found:
-            found[i].add(output)
-    yield from sorted(found.items())
+        states, found = AFTER.step(states, symbols[i])
+        if i in marks:
+            marks[i] += found
+    for i, found in marks.items():
+        if symbols[i] == "T" and "a" not in found:  # a threat needs someone it is aimed at
+            continue
+        pattern = next((name for mark, name in _ORDER if mark in found), "bare")
+        yield i, "threat" if symbols[i] == "T" and pattern == "aimed" else pattern
 
 
 @dataclass
@@ -121,8 +162,8 @@ class Model:
 
     def __post_init__(self) -> None:
         self._lengths = sorted({len(b) for b in self.beginnings})
-        self._symbols = {w: "T" for w in THREATS.split()} | {w: "P" for w in TARGETS.split()}
-        self._symbols |= {w: "N" for w in NEGATIONS.split()} | {w: "R" for w in REPORTING.split()}
+        kinds = (("D", DETERMINERS), ("C", COPULAS), ("M", MENTIONS), ("R", REPORTING), ("N", NEGATIONS), ("P", TARGETS), ("T", THREATS))
+        self._symbols = {word: symbol for symbol, words in kinds for word in words.split()}
         self._alarms = set(self.words) | set(THREATS.split())
 
     def insult(self, word: str) -> float:
@@ -133,25 +174,22 @@ class Model:
         return weight
 
     def channels(self, text: str | None) -> np.ndarray:
-        """What the matched clauses of a text add up to, by channel, at most ``MOST`` each."""
-        sums = np.zeros(len(CHANNELS))
+        """What the matched clauses of a text add up to, by pattern, at most ``MOST`` each."""
+        sums = np.zeros(len(PATTERNS))
         lowered = (text or "").lower()
-        seen = set(_WORD.findall(lowered))
+        seen = {m.group() for m in _WORD.finditer(lowered)}
         if seen.isdisjoint(self._alarms) and not any(
             not self.beginnings.keys().isdisjoint([w[:n] for w in seen if len(w) > n]) for n in self._lengths
         ):
             return sums
+        known = {w: x for w in seen if (x := self.insult(w)) > 0}
+        kind = {w: "I" if w in known else self._symbols.get(w, "o") for w in seen}
         for clause in _CLAUSE.split(lowered):
             words = _WORD.findall(clause)
-            weights = [self.insult(w) for w in words]
-            symbols = ["I" if x > 0 else self._symbols.get(w, "o") for w, x in zip(words, weights, strict=True)]
-            for i, said in _outputs(symbols):
-                if "threat" in said:
-                    if "aimed" in said:  # a threat needs someone it is aimed at
-                        sums[2 if "negated" in said else 3 if "reported" in said else 4] += SEED_ODDS
-                    continue
-                channel = 2 if "negated" in said else 3 if "reported" in said else 1 if "aimed" in said else 0
-                sums[channel] += weights[i]
+            symbols = [kind[w] for w in words]
+            if "I" in symbols or "T" in symbols:
+                for i, pattern in matches(symbols):
+                    sums[PATTERNS.index(pattern)] += known.get(words[i], SEED_ODDS)
         return np.minimum(sums, MOST)
 
     def score(self, text: str | None) -> float:
@@ -251,12 +289,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     def channels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([model.channels(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(CHANNELS))
-            yield pa.record_batch([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(len(CHANNELS)))], names=("toxic", *CHANNELS))
+            x = np.array([model.channels(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(PATTERNS))
+            yield pa.record_batch([batch.column("toxic"), *(pa.array(x[:, k]) for k in range(len(PATTERNS)))], names=("toxic", *PATTERNS))
 
-    shape = "toxic int, " + ", ".join(f"{c} double" for c in CHANNELS)
+    shape = "toxic int, " + ", ".join(f"{c} double" for c in PATTERNS)
     seen = known.select("text", "toxic").mapInArrow(channels, shape).toPandas()
-    return Model(model.words, model.beginnings, _fit(seen[list(CHANNELS)].to_numpy(), seen["toxic"].to_numpy(dtype=float)))
+    return Model(model.words, model.beginnings, _fit(seen[list(PATTERNS)].to_numpy(), seen["toxic"].to_numpy(dtype=float)))
 
 
 def score_column(model: Model) -> Callable[[Column], Column]:
@@ -270,7 +308,11 @@ def score_column(model: Model) -> Callable[[Column], Column]:
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, whatever they are called.
+
+    Null and empty texts score as texts without a match; repeated rows and rows with a null id are judged like any other.
+    """
     arrow_batches(docs.sparkSession)
-    kept = docs.withColumn("__toxicity", score_column(model)(F.col("text"))).where(F.col("__toxicity") < threshold)
-    return kept.drop("__toxicity")
+    score = unused("toxicity", docs)
+    kept = docs.withColumn(score, score_column(model)(F.col("text"))).where(F.col(score) < threshold)
+    return kept.drop(score)
