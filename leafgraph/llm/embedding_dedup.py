@@ -5,49 +5,72 @@ centroid and visits each cell of lower number that a vector within the threshold
 sphere, the angle to any vector beyond the plane between two centroids is at least the angle to that plane.  So every pair
 at or above the threshold meets in exactly one cell, and the cells lose no link.
 
-Equal vectors are one node throughout.  A cell is cut into chunks, and a task compares two chunks as one matrix product,
-whose pairs it turns into counts and a spanning forest at once.
+Equal vectors are one node throughout.  A cell is cut into chunks, and a task compares two chunks as one blocked product,
+whose pairs it turns into counts and a spanning forest at once.  The product is taken first over a few leading principal
+components and one more for the length of the rest: by Cauchy and Schwarz that bounds the cosine from above, and only the
+pairs it lets through are multiplied out in double precision.  Vectors travel as the numbers they came as.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafgraph.llm.components import connected_components
 from leafgraph.llm.store import arrow_batches, small_side, stage
 
 THRESHOLD = 0.95
-#: Vectors the centroids are fitted on (10 MB at 64 components), vectors a cell should hold, and the most cells.
+#: Vectors the centroids are fitted on (10 MB at 64 components), the most vectors a cell should hold, the cells that a
+#: small table is divided into anyway so that all cores have work, and the most cells.
 SAMPLE = 20_000
-CELL = 8192
+CELL = 32_768
+LEAST_CELLS = 8
 MAX_CELLS = 4096
-#: Vectors of one side of a matrix product, and of the rows of it that are held at once.
-CHUNK = 8192
-STRIP = 512
+#: Vectors of one side of a product, and of the rows of it that are held at once.
+CHUNK = 32_768
+STRIP = 256
+#: One in so many components leads.
+LEADING = 4
 LEAVES = 64
 _SLACK = 1e-9
 
 
-def usable(embedding: Column) -> Column:
-    """Whether a vector has components, all of them finite numbers, and is not zero."""
-    bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    some = F.exists(embedding, lambda x: x != F.lit(0.0))
-    return F.coalesce(embedding.isNotNull() & (F.size(embedding) > 0) & ~bad & some, F.lit(False))
-
-
-def _unit(rows: list) -> np.ndarray:
-    x = np.array(rows, dtype=np.float64)
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _prepared(kind: str):
+    """Rows of (id, dim, digest, vector): the components as bytes; no digest for a vector that links with nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, digests, vectors = [], [], []
+            for v in batch.column("embedding"):
+                raw = v.values if v.is_valid else None
+                x = np.empty(0) if raw is None or raw.null_count else raw.to_numpy(zero_copy_only=False).astype(kind) + 0.0
+                good = len(x) > 0 and bool(np.isfinite(x).all()) and bool(x.any())
+                dims.append(len(x))
+                vectors.append(x.tobytes() if good else None)
+                digests.append(hashlib.blake2b(vectors[-1], digest_size=16).digest() if good else None)
+            columns = [batch.column("vec_id"), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(vectors, pa.binary())]
+            yield pa.record_batch(columns, names=("vec_id", "dim", "digest", "vector"))
+
+    return run
+
+
+def _stacked(vectors: list[bytes], kind: str) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vectors), -1))
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 1) -> np.ndarray:
     """``k`` unit centroids of unit vectors ``x``, by cosine; an emptied cluster takes the worst placed vector."""
     rng = np.random.default_rng(seed)
@@ -64,48 +87,62 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 1) ->
     return centroids
 
 
-def _cells(centroids: dict[int, np.ndarray], threshold: float):
-    """Rows of (cell, visitor, id, copies, unit vector): where each vector lives and which cells it visits."""
+def _cells(centroids: dict[int, np.ndarray], threshold: float, kind: str):
+    """Rows of (cell, visitor, id, copies, vector): where each vector lives and which cells it visits."""
     reach = math.sqrt(max(0.0, 1.0 - threshold * threshold)) + _SLACK if threshold > 0 else math.inf
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = {d: np.sqrt(np.maximum(2.0 - 2.0 * np.clip(c @ c.T, -1.0, 1.0), 0.0)) for d, c in centroids.items()}
         for batch in batches:
-            size = np.array([len(v) for v in batch.column("embedding")])
-            ids, copies = batch.column("rep").to_numpy(), batch.column("copies").to_numpy()
+            size, vectors = batch.column("dim").to_numpy(), batch.column("vector")
             for dim in np.unique(size).tolist():
                 own = np.flatnonzero(size == dim)
-                x = _unit(batch.column("embedding").take(pa.array(own)).to_pylist())
                 c = centroids.get(dim)
                 if c is None:
                     row, cell = np.arange(len(own)), np.zeros(len(own), dtype=np.int64)
                     home = cell
                 else:
-                    score = x @ c.T
+                    score = _stacked(vectors.take(pa.array(own)).to_pylist(), kind) @ c.T
                     home = score.argmax(axis=1)
-                    apart = np.sqrt(np.maximum(2.0 - 2.0 * np.clip(c @ c.T, -1.0, 1.0), 0.0))
                     gap = score[np.arange(len(own)), home][:, None] - score
-                    near = gap <= reach * apart[home] + _SLACK
+                    near = gap <= reach * apart[dim][home] + _SLACK
                     near &= np.arange(len(c))[None, :] <= home[:, None]
                     near[np.arange(len(own)), home] = True
                     row, cell = np.nonzero(near)
-                vectors = x.astype("<f8")
                 for at in range(0, len(row), 4096):
                     r, z = row[at : at + 4096], cell[at : at + 4096]
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(r), dim, dtype=np.int32)),
-                            pa.array(z.astype(np.int32)),
-                            pa.array(z != home[r]),
-                            pa.array(ids[own][r]),
-                            pa.array(copies[own][r]),
-                            pa.array([vectors[i].tobytes() for i in r.tolist()], pa.binary()),
-                        ],
-                        names=("dim", "cell", "visitor", "rep", "copies", "vector"),
-                    )
+                    sent = batch.select(["rep", "copies", "vector"]).take(pa.array(own[r]))
+                    columns = [pa.array(np.full(len(r), dim, dtype=np.int32)), pa.array(z.astype(np.int32)), pa.array(z != home[r])]
+                    yield pa.record_batch([*columns, *sent.columns], names=("dim", "cell", "visitor", "rep", "copies", "vector"))
 
     return run
 
 
+def leading_components(x: np.ndarray) -> np.ndarray:
+    """Orthonormal columns: the principal components of unit vectors ``x``, one for every ``LEADING`` of their components."""
+    _, vectors = np.linalg.eigh(x.T @ x)
+    return vectors[:, ::-1][:, : max(1, x.shape[1] // LEADING)]
+
+
+def _bounding(x: np.ndarray, leading: np.ndarray) -> np.ndarray:
+    """Vectors whose products bound the cosines of ``x`` from above, up to the rounding of single precision."""
+    led = x @ leading
+    rest = np.sqrt(np.maximum(1.0 - (led * led).sum(axis=1, keepdims=True), 0.0))
+    return np.hstack([led, rest]).astype(np.float32)
+
+
+def linked(x: np.ndarray, y: np.ndarray, low_x: np.ndarray, low_y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``x`` and ``y`` with a cosine of ``threshold`` or more."""
+    i, j = np.nonzero(low_x @ low_y.T >= threshold - 1e-4)
+    if 8 * len(i) > len(x) * len(y):
+        return np.nonzero(x @ y.T >= threshold)
+    hit = np.empty(len(i), dtype=bool)
+    for at in range(0, len(i), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        hit[part] = np.einsum("ij,ij->i", x[i[part]], y[j[part]]) >= threshold
+    return i[hit], j[hit]
+
+
 def _hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Make ``label`` agree along the pairs: each node points to the smallest index it is connected to."""
     while True:
@@ -121,23 +158,23 @@ def _hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = label[label]
 
 
-def _product(threshold: float):
+def _product(threshold: float, kind: str, leading: dict[int, np.ndarray]):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["side", "rep"], kind="stable").reset_index(drop=True)
-        x = np.frombuffer(b"".join(group["vector"]), dtype="<f8").reshape(len(group), -1)
+        x = _stacked(group["vector"].tolist(), kind)
         ids, copies, side = (group[c].to_numpy() for c in ("rep", "copies", "side"))
+        lead = leading.get(x.shape[1])
+        low = _bounding(x, leading_components(x) if lead is None else lead)
         own = bool((side == 2).any())
-        cut = 0 if own else int((side == 0).sum())
-        left = range(0, len(group) if own else cut, STRIP)
+        cut = len(group) if own else int((side == 0).sum())
         links = np.zeros(len(group), dtype=np.int64)
         label = np.arange(len(group))
-        for at in left:
-            end = min(at + STRIP, len(group) if own else cut)
+        for at in range(0, cut, STRIP):
+            end = min(at + STRIP, cut)
             begin = at if own else cut
-            hit = x[at:end] @ x[begin:].T >= threshold
+            i, j = linked(x[at:end], x[begin:], low[at:end], low[begin:], threshold)
             if own:
-                hit[np.tril_indices(end - at, 0, hit.shape[1])] = False
-            i, j = np.nonzero(hit)
+                i, j = i[i < j], j[i < j]
             if len(i):
                 i, j = i + at, j + begin
                 links += np.bincount(i, weights=copies[j], minlength=len(group)).astype(np.int64)
@@ -149,35 +186,43 @@ def _product(threshold: float):
     return run
 
 
-def vector_groups(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, cell: int = CELL) -> DataFrame:
+def vector_groups(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, cell: int | None = None) -> DataFrame:
     """One row for each row of ``vectors(vec_id, embedding)``: ``vec_id, n_links, component_id, kept``.
 
     ``n_links`` counts the other rows with a cosine of ``threshold`` or more, ``component_id`` is the smallest id
     reachable by such links and ``kept`` marks that one.  Vectors that are null, empty, zero or hold null or non-finite
-    components, and rows with a null id, link with nothing; so do vectors of different length.  Repeated rows count as
-    rows of their own that are linked.  An empty table gives an empty result.
+    components, and rows with a null id, link with nothing (a null id is kept); so do vectors of different length.
+    Repeated rows count as rows of their own that are linked.  An empty table gives an empty result.  ``cell`` is the
+    number of vectors a cell should hold.
     """
     spark = vectors.sparkSession
     arrow_batches(spark)
-    read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    fit = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
-    leaf = read.where(fit).withColumn("leaf", F.pmod(F.xxhash64("vec_id"), F.lit(LEAVES)))
-    leaf_least = leaf.groupBy("leaf", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    least = stage(leaf_least.groupBy("embedding").agg(F.min("rep").alias("rep"), F.sum("copies").alias("copies")), "vectors")
-    answers = leaf_least.select("leaf", "embedding").join(least, "embedding")
-    nodes = stage(leaf.join(answers, ["leaf", "embedding"]).select("vec_id", "rep", "copies"), "vector-nodes")
-
-    dims = least.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(64).collect()
+    kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
+    read = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>" if kind == "<f4" else "array<double>"))
+    rows = read.mapInArrow(_prepared(kind), "vec_id long, dim int, digest binary, vector binary")
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # written, so that the numbers stay
+    fit = F.col("digest").isNotNull() & F.col("vec_id").isNotNull()
+    leaf = rows.where(fit).select("vec_id", "row", "dim", "digest", F.pmod(F.xxhash64("row"), F.lit(LEAVES)).alias("leaf"))
+    leaf_least = leaf.groupBy("leaf", "dim", "digest").agg(F.min(F.struct("vec_id", "row")).alias("first"), F.count("*").alias("copies"))
+    least = leaf_least.groupBy("dim", "digest").agg(F.min("first").alias("first"), F.sum("copies").alias("copies"))
+    least = stage(least.select("dim", "digest", F.col("first.vec_id").alias("rep"), F.col("first.row").alias("row"), "copies"), "least")
+    answers = leaf_least.select("leaf", "dim", "digest").join(least.drop("row"), ["dim", "digest"])
+    nodes = stage(leaf.join(answers, ["leaf", "dim", "digest"]).select("vec_id", "rep", "copies"), "vector-nodes")
+    first = stage(rows.select("row", "dim", "vector").join(small_side(least.select("row", "rep", "copies")), "row"), "vector-reps")
+
+    dims = least.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()
     centroids: dict[int, np.ndarray] = {}
+    leading: dict[int, np.ndarray] = {}
     for dim, n in ((r["dim"], r["n"]) for r in dims):
-        k = min(MAX_CELLS, math.ceil(n / cell))
+        k = min(MAX_CELLS, math.ceil(n / (cell or max(1024, min(CELL, math.ceil(n / LEAST_CELLS))))))
         if k > 1:
             share = min(1.0, sample / n)
-            drawn = least.where((F.size("embedding") == dim) & (F.pmod(F.xxhash64("rep", F.lit("k-means")), F.lit(1 << 30)) < int(share * (1 << 30))))
-            drawn = drawn.select("embedding", F.xxhash64("rep").alias("h")).orderBy("h").limit(sample).toPandas()
-            centroids[dim] = spherical_kmeans(_unit(drawn["embedding"].tolist()), k)
+            drawn = first.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("rep", F.lit("k-means")), F.lit(1 << 30)) < int(share * (1 << 30))))
+            drawn = drawn.select("vector", F.xxhash64("rep").alias("h")).orderBy("h").limit(sample).toPandas()
+            x = _stacked(drawn["vector"].tolist(), kind)
+            centroids[dim], leading[dim] = spherical_kmeans(x, k), leading_components(x)
     placed = stage(
-        least.mapInArrow(_cells(centroids, threshold), "dim int, cell int, visitor boolean, rep long, copies long, vector binary"),
+        first.mapInArrow(_cells(centroids, threshold, kind), "dim int, cell int, visitor boolean, rep long, copies long, vector binary"),
         "cells",
     )
     counts = placed.groupBy("dim", "cell").agg(
@@ -198,7 +243,7 @@ def vector_groups(vectors: DataFrame, threshold: float = THRESHOLD, sample: int
         F.when(F.col("visitor"), 1).when(~resident_pair, 0).when(F.col("chunk") == F.col("other"), 2)
         .when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    found = sized.groupBy("dim", "cell", "i", "j").applyInPandas(_product(threshold), "rep long, links long, least long")
+    found = sized.groupBy("dim", "cell", "i", "j").applyInPandas(_product(threshold, kind, leading), "rep long, links long, least long")
     found = stage(found, "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
@@ -208,5 +253,5 @@ def vector_groups(vectors: DataFrame, threshold: float = THRESHOLD, sample: int
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"),
     )
-    bare = read.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    bare = rows.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(bare).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
