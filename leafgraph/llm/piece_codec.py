@@ -7,19 +7,24 @@ place decides whether it is skipped, otherwise it is merged and its new neighbou
 segmentation for each seed, whatever machine or partition it is on, and different documents vary.
 
 All stretches of a batch are processed side by side on arrays, one merge a stretch and round; a stretch of many characters
-has its own agenda in a heap instead, which takes the same decisions.
+has its own agenda in a heap instead, which takes the same decisions.  A long text is worked on in parts that end where a
+stretch does, so memory is bounded by a part (or by a single stretch that is longer) and not by the text.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from leafgraph.llm.shingles import mix64
 from leafgraph.llm.store import arrow_batches
@@ -29,8 +34,10 @@ DROPOUT = 0.1
 SEED = 20_240
 #: The character that stands for a space inside pieces.
 SPACE = "▁"
-#: Characters of one array pass, and of the longest stretch that is processed on arrays.
+#: Characters or pieces of one array pass, bytes of the rows that leave together, and characters of the longest stretch
+#: that is processed on arrays.
 _BATCH = 100_000
+_OUT = 1 << 20
 LONG = 128
 _NEVER = np.int64(1) << np.int64(62)
 _PLACE_BITS = 32
@@ -154,32 +161,40 @@ def _skipped_one(doc_key: int, start: int, middle: int, end: int, limit: int) ->
 
 
 def _heap_merge(p: Pieces, symbols: list[int], first: int, doc_key: int, limit: int) -> list[int]:
-    """The agenda of one long stretch of one-character symbols that begins at place ``first``."""
+    """The agenda of one long stretch of one-character symbols that begins at place ``first``.
+
+    A candidate is one number, of order, start and end.  It is out of date when its start has gone or reaches further, or
+    when the symbol after that ends elsewhere.
+    """
     n = len(symbols)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    end = list(range(first + 1, first + n + 1))
-    alive = [True] * n
-    agenda: list[tuple[int, int, int, int, int]] = []
+    symbol = array("i", symbols)
+    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+    end = array("q", range(1, n + 1))
+    alive = bytearray(b"\1") * n
+    agenda: list[int] = []
 
     def consider(a: int, b: int) -> None:
-        found = p.pairs.get(symbols[a] << 16 | symbols[b]) if symbols[a] >= 0 and symbols[b] >= 0 else None
-        if found and not _skipped_one(doc_key, first + a, first + b, end[b], limit):
-            heapq.heappush(agenda, (found[0], a, b, end[b], found[1]))
+        found = p.pairs.get(symbol[a] << 16 | symbol[b]) if symbol[a] >= 0 and symbol[b] >= 0 else None
+        if found and not _skipped_one(doc_key, first + a, first + b, first + end[b], limit):
+            heapq.heappush(agenda, found[0] << 80 | a << 40 | end[b])
 
     for i in range(n - 1):
         consider(i, i + 1)
+    low = (1 << 40) - 1
     while agenda:
-        _, a, b, b_end, into = heapq.heappop(agenda)
-        if not (alive[a] and alive[b]) or after[a] != b or end[b] != b_end:
+        entry = heapq.heappop(agenda)
+        a, to = entry >> 40 & low, entry & low
+        b = after[a]
+        if not alive[a] or b >= n or end[b] != to:
             continue  # a neighbour has changed since
-        symbols[a], end[a], alive[b] = into, end[b], False
-        after[a] = after[b]
+        symbol[a] = p.pairs[symbol[a] << 16 | symbol[b]][1]
+        end[a], alive[b], after[a] = to, 0, after[b]
         if after[a] < n:
             before[after[a]] = a
             consider(a, after[a])
         if before[a] >= 0:
             consider(before[a], a)
-    return [s for s, live in zip(symbols, alive, strict=True) if live]
+    return [s for s, live in zip(symbol, alive, strict=True) if live]
 
 
 def _array_merge(
@@ -243,6 +258,22 @@ def _array_merge(
     return symbol[back], place[back]
 
 
+#: No piece has a space after another character: here a stretch ends.
+_CUT = re.compile(r"(?<=[^ ]) ")
+
+
+def _parts(text: str) -> Iterator[tuple[int, str]]:
+    """``text`` cut about every ``_BATCH`` characters in front of a space behind another character: offsets and parts."""
+    at = 0
+    while len(text) - at > 2 * _BATCH:
+        cut = _CUT.search(text, at + _BATCH)
+        if cut is None:
+            break
+        yield at, text[at : cut.start()]
+        at = cut.start()
+    yield at, text[at:]
+
+
 def encode_batch(
     texts: list[str], keys: np.ndarray, model_file: str = DEFAULT_MODEL, dropout: float = DROPOUT, seed: int = SEED
 ) -> list[np.ndarray]:
@@ -251,11 +282,22 @@ def encode_batch(
         raise ValueError("dropout lies between 0 and 1")
     p = load(model_file)
     limit = np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
-    sized = [t and " " + t for t in texts]  # the model's leading space; nothing for an empty text
-    begin = np.concatenate(([0], np.cumsum([len(t) for t in sized]))).astype(np.int64)
-    point = np.frombuffer("".join(sized).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    if not len(point):
-        return [np.empty(0, dtype=np.int32) for _ in texts]
+    named = mix64(mix64(np.asarray(keys).astype(np.int64).view(np.uint64) ^ np.uint64(seed)))
+    # the model's leading space; nothing for an empty text
+    parts = [(i, at, part) for i, t in enumerate(texts) if t for at, part in _parts(" " + t)]
+    found: list[list[np.ndarray]] = [[] for _ in texts]
+    for a, b in _groups([len(part) for _, _, part in parts]):
+        owner = [i for i, _, _ in parts[a:b]]
+        pieces = _encode_parts(p, [part for _, _, part in parts[a:b]], np.array([at for _, at, _ in parts[a:b]]), named[owner], limit)
+        for i, x in zip(owner, pieces, strict=True):
+            found[i].append(x)
+    return [x[0] if len(x) == 1 else np.concatenate([np.empty(0, dtype=np.int32), *x]) for x in found]
+
+
+def _encode_parts(p: Pieces, parts: list[str], offsets: np.ndarray, named: np.ndarray, limit: np.uint64) -> list[np.ndarray]:
+    """Piece ids of parts of texts; ``offsets`` say where in its text a part begins, ``named`` are the documents' keys."""
+    begin = np.concatenate(([0], np.cumsum([len(t) for t in parts]))).astype(np.int64)
+    point = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     symbol = p.of_point[np.where(point > 0xFFFF, 0, point)]
     far = point > 0xFFFF
     if far.any():
@@ -265,19 +307,18 @@ def encode_batch(
     symbol[point == ord(SPACE)] = -1  # spelled in bytes, so that it is told from a space
     unknown = symbol < 0
     new = np.zeros(len(point), dtype=bool)
-    new[begin[:-1][np.diff(begin) > 0]] = True
+    new[begin[:-1]] = True
     new[1:] |= blank[1:] & ~blank[:-1]  # no piece has a space after another character
     new |= unknown
     new[1:] |= unknown[:-1]
     head = np.flatnonzero(new)
     length = np.diff(np.append(head, len(point)))
     stretch = np.repeat(np.arange(len(head)), length)
-    doc = np.searchsorted(begin, head, side="right") - 1
+    part = np.searchsorted(begin, head, side="right") - 1
     place = np.arange(len(point), dtype=np.int64)
-    named = mix64(mix64(np.asarray(keys).astype(np.int64).view(np.uint64) ^ np.uint64(seed)))
-    # candidates are hashed by their places in the batch; taking the text's first place off the key beforehand makes that
-    # the same as hashing places in the text, so a text gets the same pieces in any batch
-    doc_key = (named - begin[:-1].astype(np.uint64) * np.uint64(sum(_STEPS) & _MASK))[doc]
+    # candidates are hashed by their places in the batch; taking the place of the text's beginning off the key beforehand
+    # makes that the same as hashing places in the text, so a text gets the same pieces in any batch
+    doc_key = (named - (begin[:-1] - offsets).astype(np.uint64) * np.uint64(sum(_STEPS) & _MASK))[part]
     long_ = length > LONG
     take = ~np.repeat(long_, length)
     pieces, at = _array_merge(p, symbol[take].copy(), place[take], stretch[take], doc_key, limit)
@@ -314,21 +355,25 @@ def _spell(p: Pieces, pieces: np.ndarray, at: np.ndarray, point: np.ndarray) ->
 def decode_pieces_batch(flat: np.ndarray, offsets: np.ndarray, model_file: str = DEFAULT_MODEL) -> list[str]:
     """The texts of lists of piece ids, given flat with their offsets."""
     p = load(model_file)
-    flat = np.asarray(flat, dtype=np.int64)
+    flat = np.asarray(flat)
     if len(flat) and (flat.min() < 0 or flat.max() >= len(p.pool_len)):
         raise ValueError("a piece id lies outside the model")
-    length = p.pool_len[flat]
-    done = np.cumsum(length)
-    raw = p.pool[np.repeat(p.pool_at[flat] - (done - length), length) + np.arange(int(done[-1]) if len(done) else 0)].tobytes()
-    ends = np.concatenate(([0], done))[offsets]
+    ends = np.concatenate(([0], np.cumsum(p.pool_len[flat])))[offsets]
+    raw = b"".join(_spelled(p, flat[i : i + _BATCH]) for i in range(0, len(flat), _BATCH))
     # the first character is the leading space that encoding added
     return [raw[a + 1 : b].decode("utf-8", "surrogatepass") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    first, total = 0, 0
+def _spelled(p: Pieces, flat: np.ndarray) -> bytes:
+    length = p.pool_len[flat]
+    done = np.cumsum(length)
+    return p.pool[np.repeat(p.pool_at[flat] - (done - length), length) + np.arange(int(done[-1]))].tobytes()
+
+
+def _groups(sizes: list[int], limit: int | None = None) -> Iterator[tuple[int, int]]:
+    first, total, limit = 0, 0, limit or _BATCH
     for i, size in enumerate(sizes):
-        if total and total + size > _BATCH:
+        if total and total + size > limit:
             yield first, i
             first, total = i, 0
         total += size
@@ -336,6 +381,18 @@ def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut into rows of about ``_OUT`` bytes of text, or as many pieces a quarter of that."""
+    for batch in batches:
+        sizes = batch.column(column)
+        sizes = pc.binary_length(sizes) if pa.types.is_string(sizes.type) or pa.types.is_large_string(sizes.type) else pc.list_value_length(sizes)
+        limit = _OUT if column == "text" else _OUT // 4
+        if not batch.num_rows:
+            yield batch
+        for a, b in _groups([max(1, n or 0) for n in sizes.to_pylist()], limit):
+            yield batch.slice(a, b - a)
+
+
 def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``doc_id, text, pieces`` for each row of ``docs``: a segmentation with ``dropout`` of the merges skipped.
 
@@ -345,12 +402,10 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, dropout: float = DR
     arrow_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = np.array([k or 0 for k in batch.column("doc_id").to_pylist()], dtype=np.int64)
-            found: list[np.ndarray] = []
-            for a, b in _groups([len(t) for t in texts]):
-                found += encode_batch(texts[a:b], keys[a:b], model_file, dropout, seed)
+            found = encode_batch(texts, keys, model_file, dropout, seed)
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
@@ -360,15 +415,21 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, dropout: float = DR
     return read.mapInArrow(run, "doc_id long, text string, pieces array<int>")
 
 
-def decode(encoded: DataFrame, model_file: str = DEFAULT_MODEL) -> DataFrame:
-    """``encoded`` with ``decoded``, the text that ``pieces`` spell; no pieces spell the empty text."""
+def decode(encoded: DataFrame, model_file: str = DEFAULT_MODEL, into: str = "decoded") -> DataFrame:
+    """``encoded`` with column ``into``, the text that ``pieces`` spell; null or no pieces spell the empty text.
+
+    A column that has that name already is replaced; all others stay.
+    """
     arrow_batches(encoded.sparkSession)
+    others = [name for name in encoded.columns if name.lower() != into.lower()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, "pieces"):
             lists = batch.column("pieces")
-            texts = decode_pieces_batch(lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum([len(x) for x in lists]))), model_file)
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=(*batch.schema.names, "decoded"))
+            sizes = [n or 0 for n in pc.list_value_length(lists).to_pylist()]
+            texts = decode_pieces_batch(lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), model_file)
+            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=(*others, into))
 
-    shape = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{shape}, decoded string")
+    kept = encoded.select(*[F.col(f"`{name}`") for name in others])
+    shape = ", ".join(f"`{name}` {kind}" for name, kind in kept.dtypes)
+    return kept.mapInArrow(run, f"{shape}, `{into}` string")
