@@ -5,14 +5,16 @@ One permutation (a bijection of 64-bit shingle hashes, of which the upper half i
 permutations give all coordinates.  Four coordinates make a band; documents that share a band meet in a bucket.
 
 No bucket emits its pairs.  First each member is compared with its bucket's smallest id, and the links become components.
-A bucket whose other members still lie in different components is then cut into chunks and each pair of chunks compared
-as one product of incidence matrices, which emits only which components touch.  Documents with equal shingle sets are one
-node throughout.
+The other members of a bucket are dealt into classes of neighbouring set sizes, since sets of too different size are never
+linked.  A class whose members still lie in different components is cut into chunks of bounded bytes and each pair of
+chunks compared as one product of incidence matrices, which emits only which components touch.  Documents with equal
+shingle sets are one node throughout.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +26,16 @@ from pyspark.sql import functions as F
 from leafgraph.llm.components import connected_components
 from leafgraph.llm.shingles import batches as text_batches
 from leafgraph.llm.shingles import mix64, shingle_sets
-from leafgraph.llm.store import arrow_batches, small_side, stage
+from leafgraph.llm.store import arrow_batches, small_side, stage, unused
 
 WIDTH = 5
 #: Linked: PERCENT * union <= 100 * intersection.
 PERCENT = 80
 #: The chance that a pair at the threshold shares no band: (1 - 0.8**4)**24 = 3e-6.
 BANDS, ROWS = 24, 4
+#: Documents of a chunk, and shingles of it (8 bytes each), on average: only a set that is larger makes a larger chunk.
 CHUNK = 256
+CHUNK_ITEMS = 1 << 19
 LEAVES = 64
 #: The circular shift between coordinates; odd, so that it reaches every place.
 _STEP = 0x9E3779B1
@@ -211,27 +215,32 @@ def near_duplicate_groups(
     stars = stage(with_both.select("a", "b", "items_a", "items_b").mapInArrow(_linked(percent), "a long, b long"), "stars")
     components = stage(connected_components(stars), "components")
 
-    # what no head has settled: the other members of buckets that hold more than one component
+    # what no head has settled: the other members of buckets that hold more than one component, in classes of set sizes.
+    # A class and the one above it hold all that a set can be linked with, so that each set is in two of them.
     rest = members.where((F.col("members") > 2) & (F.col("head.doc_id") != F.col("doc_id"))).join(
         components.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     )
-    rest = rest.select("bucket", "doc_id", "members", F.coalesce("component", "doc_id").alias("component"))
-    mixed = rest.groupBy("bucket").agg(
+    step = math.log(100 / percent) * (1 + 1e-6)  # a little more than linked sets can differ by
+    size_class = F.floor(F.log(F.col("n")) / step).cast("int") if percent < 100 else F.col("n").cast("int")
+    rest = rest.select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"), size_class.alias("size_class"))
+    rest = rest.withColumn("size_class", F.explode(F.array(F.col("size_class"), F.col("size_class") + 1)))
+    mixed = rest.groupBy("bucket", "size_class").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.bit_xor(F.xxhash64("doc_id")).alias("mark"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("total"),
-        F.count("*").alias("n"),
+        F.count("*").alias("docs"), F.sum("n").alias("items"),
     ).where("low <> high")
-    # buckets of other bands with the same members need no second look
-    mixed = mixed.groupBy("mark", "total", "n").agg(F.min("bucket").alias("bucket")).select("bucket")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    rest = rest.join(mixed, "bucket").withColumn("chunks", chunks)
+    # classes of other bands with the same members need no second look
+    mixed = mixed.groupBy("mark", "total", "docs", "items").agg(F.min(F.struct("bucket", "size_class")).alias("first"))
+    chunks = F.ceil(F.greatest(F.col("docs") / CHUNK, F.col("items") / CHUNK_ITEMS)).cast("int")
+    mixed = mixed.select("first.bucket", "first.size_class", F.least(chunks, F.col("docs").cast("int")).alias("chunks"))
+    rest = rest.join(mixed, ["bucket", "size_class"])
     rest = rest.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("chunks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rest = rest.select(
-        "bucket", "doc_id", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+        "bucket", "size_class", "doc_id", "component", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
         F.when(F.col("chunk") == F.col("other"), 2).when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side"),
     )
-    blocks = rest.join(sets, "doc_id").groupBy("bucket", "i", "j")
+    blocks = rest.join(sets, "doc_id").groupBy("bucket", "size_class", "i", "j")
     across = stage(blocks.applyInPandas(_chunk_pairs(percent), "a long, b long").distinct(), "across")
     merged = connected_components(across).select(F.col("node").alias("component"), F.col("component").alias("root"))
     final = components.join(merged, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
@@ -245,7 +254,13 @@ def near_duplicate_groups(
 
 
 def keep_one_of_each_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose document is its group's smallest id, or whose id is null; all columns stay."""
-    kept = near_duplicate_groups(docs, width, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    identified = docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
-    return identified.unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` whose document is its group's smallest id, or whose id is null; all columns stay.
+
+    Rows are found by the ids that go, so texts are not shuffled while those are few enough to be sent around.  Null and
+    empty texts are no copies of each other; repeated rows of a kept id all stay; an empty table gives an empty result.
+    """
+    key = unused("id", docs)
+    groups = stage(near_duplicate_groups(docs, width, percent).where("doc_id is not null").select(F.col("doc_id").alias(key), "kept"), "groups")
+    gone = groups.groupBy(key).agg(F.bool_or("kept").alias("kept")).where("not kept").select(key)
+    left = docs.withColumn(key, F.col("doc_id").cast("long"))
+    return left.join(small_side(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,12 +8,15 @@ the byte table below define them.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 #: Odd multiplier of the running polynomial and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-#: Bytes handled at once; a longer single text is still taken whole.
+#: Bytes handled at once: longer texts are cut between words, and a longer word is summed up in parts.
 _CHUNK = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -41,8 +44,51 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of every text, and the number of words of each text."""
+    found, counts = [], []
+    for first, run in batches(texts):
+        if len(run) == 1 and len(run[0]) > 2 * _CHUNK:
+            hashes = [h for part in _parts(run[0]) for h in part]
+            found += hashes
+            counts.append(np.array([sum(map(len, hashes))]))
+        else:
+            hashes, n = _hashes(run)
+            found.append(hashes)
+            counts.append(n)
+    if not found:
+        return np.empty(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
+    return np.concatenate(found), np.concatenate(counts)
+
+
+def _parts(text: bytes) -> Iterator[list[np.ndarray]]:
+    """The word hashes of a long text, about ``_CHUNK`` bytes at a time."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, min(at + _CHUNK, len(text)))
+        end = gap.start() if gap else len(text)
+        part = text[at:end]
+        if len(part) <= 2 * _CHUNK:
+            yield [_hashes([part])[0]]
+        else:  # it ends in a long word
+            begin = max(part.rfind(bytes([c]), 0, _CHUNK) for c in b" \t\n\x0b\x0c\r") + 1
+            yield [_hashes([part[:begin]])[0], _long_hash(part[begin:])]
+        at = end
+
+
+def _long_hash(word: bytes) -> np.ndarray:
+    up, _ = _power_table(_CHUNK)
+    total = 0
+    for at in range(0, len(word), _CHUNK):
+        raw = np.frombuffer(word[at : at + _CHUNK].lower(), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+        total += int(np.add.reduce(raw * up[: len(raw)])) * pow(_BASE, at, 1 << 64)
+    return mix64(np.array([(total + len(word)) & (1 << 64) - 1], dtype=np.uint64))
+
+
+def _hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     buffer = b" ".join(texts) + b" "
     raw = np.frombuffer(buffer.lower(), dtype=np.uint8)
     up, down = _power_table(len(raw) + 1)
@@ -67,7 +113,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """
     hashes, counts = word_hashes(texts)
     out: list[np.ndarray] = []
-    powers, _ = _power_table(len(hashes) + width + 1)
+    powers, _ = _power_table(width + 2)
     rolled = np.zeros(max(0, len(hashes) - width + 1), dtype=np.uint64)
     for k in range(width if len(rolled) else 0):
         rolled += hashes[k : len(hashes) - width + 1 + k] * powers[k + 1]
