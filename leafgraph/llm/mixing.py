@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from leafgraph.llm.store import small_side, stage
+from leafgraph.llm.store import small_side, stage, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -26,6 +26,7 @@ def n_words(text: Column) -> Column:
 def _ranked(per_source: DataFrame) -> DataFrame:
     """Add ``rank`` (from 0) by code point, null last, without one task that sees every source."""
     order = F.col("source").asc_nulls_last()
+    # only the columns source and source_size come here
     parts = stage(per_source.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "sources")
     first = parts.groupBy("__part").agg(F.count("*").alias("__n"))
     offset = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -88,13 +89,16 @@ def mix_plan(
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
-    """``docs`` with each row as often as ``mix_plan`` says, and no column more.  Texts are not shuffled."""
+    """``docs`` with each row as often as ``mix_plan`` says, and no column more, whatever they are called.
+
+    Texts are not shuffled.  Null and empty texts have size 0 and are taken as often as their source's rate says.
+    """
     sized = docs.select("source", n_words(F.col("text")).alias("size"))
+    name, total, aim, times, copy = (unused(x, docs) for x in ("mix_source", "mix_size", "mix_target", "mix_copies", "mix_copy"))
     targets = source_targets(sized, weights, share, cap).select(
-        F.col("source").alias("__source"), F.col("source_size").alias("__size"), F.col("target").alias("__target")
+        F.col("source").alias(name), F.col("source_size").alias(total), F.col("target").alias(aim)
     )
-    joined = docs.join(small_side(targets, 100_000), F.col("source").eqNullSafe(F.col("__source")))
-    copies = _copies(F.col("doc_id"), F.col("__size"), F.col("__target"), seed)
-    repeated = joined.withColumn("__copies", copies).where("__copies > 0")
-    repeated = repeated.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    joined = docs.join(small_side(targets, 100_000), F.col("source").eqNullSafe(F.col(name)))
+    repeated = joined.withColumn(times, _copies(F.col("doc_id"), F.col(total), F.col(aim), seed)).where(F.col(times) > 0)
+    repeated = repeated.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
