@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +19,7 @@ from leafgraph.llm import (
     token_rollup,
     toxicity,
 )
-from leafgraph.llm.store import arrow_batches, scratch_root, stage, table
+from leafgraph.llm.store import arrow_batches, stage, staged_path, table
 
 _UPPER, _LOWER = license_scan.UPPER, license_scan.LOWER
 #: ASCII white space as DuckDB (RE2) writes it.
@@ -190,23 +189,27 @@ _OP9_SQL = rf"""
            (size * (floor(rate)::bigint + (draw < rate - floor(rate))::bigint))::bigint as taken from x"""
 
 def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals of two tokenizer versions after four commits.
+    """Totals of two tokenizer versions after six commits.
 
-    All documents are inserted with their words and with a provisional token count (a quarter of their bytes), the
-    provisional counts of all documents are revised to the true ones, and one batch is committed a second time.
+    All documents are inserted with their words, with a provisional token count (a quarter of their bytes) and with a
+    version that is given up, their bytes.  Then the provisional counts are revised to the true ones, all rows of the
+    version that is given up are deleted, and one batch is committed a second time.
     """
     arrow_batches(spark)
     text = F.col("text")
+    n_bytes = F.coalesce(F.octet_length(text), F.lit(0))
     counts = table(spark, sf_dir, "documents").select(
-        "source", "lang", mixing.n_words(text).alias("words"),
-        F.ceil(F.coalesce(F.octet_length(text), F.lit(0)) / 4).alias("guess"), token_rollup.count_tokens(text).alias("tokens"),
+        "source", "lang", mixing.n_words(text).alias("words"), n_bytes.alias("bytes"), F.ceil(n_bytes / 4).alias("guess"),
+        token_rollup.count_tokens(text).alias("tokens"),
     )
     counts = stage(counts, "token-counts")
-    rollup = token_rollup.Rollup(spark, f"{scratch_root(spark)}/leafgraph/{uuid.uuid4().hex}-rollup")
+    rollup = token_rollup.Rollup(spark, staged_path(spark, "rollup"))
     provisional = token_rollup.inserts(counts, "byte_bpe_50k", "guess")
     rollup.commit("words", token_rollup.inserts(counts, "words-1", "words"))
+    rollup.commit("bytes", token_rollup.inserts(counts, "bytes-0", "bytes"))
     rollup.commit("provisional", provisional)
     rollup.commit("revised", token_rollup.revisions(counts, "byte_bpe_50k", "guess", "tokens"))
+    rollup.commit("given-up", token_rollup.deletes(counts, "bytes-0", "bytes"))
     rollup.commit("provisional", provisional)  # again: no effect
     return rollup.totals()
 

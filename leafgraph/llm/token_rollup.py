@@ -9,6 +9,7 @@ arrive in any order, and old ones can be folded into one.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from functools import lru_cache
 
@@ -24,22 +25,45 @@ KEYS = ("source", "lang", "tokenizer")
 _SHAPE = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
+#: A longer run of white space does not go through the split pattern, whose look-ahead would overflow its stack there.
+LONG_RUN = 10_000
+# Fixed value: what that pattern takes for white space (the Unicode property White_Space).
+_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
+
 @lru_cache(maxsize=4)
-def _encoding(ranks_file: str):
+def _encodings(ranks_file: str):
+    """The encoding, and one that takes a whole text for one piece."""
     import tiktoken
 
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tuple(tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (PATTERN, r"[\s\S]+"))
+
+
+def n_tokens(text: str | None, ranks_file: str = DEFAULT_RANKS) -> int:
+    """The number of byte-level BPE tokens of a text, however long its runs of white space are.
+
+    A run is a piece of its own up to its last character, and that one goes with what follows (at the end of the text the
+    run is one piece), so cutting there leaves the pieces what they are.
+    """
+    if not text:
+        return 0
+    split, whole = _encodings(ranks_file)
+    total, at = 0, 0
+    for run in _RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(split.encode_ordinary(text[at : run.start()])) + len(whole.encode_ordinary(text[run.start() : end]))
+        at = end
+    return total + len(split.encode_ordinary(text[at:] if at else text))
 
 
 def count_tokens(text: Column, ranks_file: str = DEFAULT_RANKS) -> Column:
-    """The number of byte-level BPE tokens of a text column; null and empty texts have none."""
+    """``n_tokens`` of a text column; null and empty texts have none."""
 
     @pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        encode = _encoding(ranks_file).encode_ordinary
-        return texts.map(lambda t: len(encode(t)) if t else 0, na_action=None)
+        return texts.map(lambda t: n_tokens(t, ranks_file), na_action=None)
 
     return count(text)
 
@@ -122,28 +146,47 @@ class Rollup:
             return False
         return True
 
-    def totals(self) -> DataFrame:
-        """``source, lang, tokenizer, docs, tokens`` over all committed batches; groups that sum up to nothing are left out."""
-        paths = [f"{self.root}/batch={b}" for b in self.batches()]
+    def _sums(self, names: list[str]) -> DataFrame:
+        paths = [f"{self.root}/batch={b}" for b in names]
         read = self.spark.read.schema(_SHAPE)
         all_ = read.parquet(*paths) if paths else self.spark.createDataFrame([], _SHAPE)
         sums = all_.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs <> 0 or tokens <> 0")
 
-    def fold(self) -> None:
+    def totals(self) -> DataFrame:
+        """``source, lang, tokenizer, docs, tokens`` over all committed batches; groups that sum up to nothing are left out.
+
+        The batches are those committed when this is called.  If a fold deletes one before the frame is read, reading fails.
+        """
+        return self._sums(self.batches())
+
+    def fold(self, break_lock: bool = False) -> bool:
         """Replace the committed batches by one with their totals.  Their names stay known and can't be committed again.
 
-        The fold counts, and the batches it lists stop to count, from the moment it is committed.  One process may fold at
-        a time.
+        The fold counts, and the batches it lists stop to count, from the moment it is committed; only then they are
+        deleted.  A batch that is committed meanwhile is not part of it.  One fold runs at a time: False, and nothing done,
+        while another holds the lock (``break_lock``: that one is known to be dead), if the fold could not be committed, or
+        if there is nothing to fold.
         """
-        names = self.batches()
-        if len(names) < 2:
-            return
-        files, fold = self._files(), f"fold-{uuid.uuid4().hex}"
-        for name in names:
-            files.create(self._path(f"{self.root}/folded/{fold}/{name}"), True).close()
-        self._publish(fold, self.totals())
-        for name in names:
-            if name.startswith("fold-"):
-                files.create(self._path(f"{self.root}/past/{name}"), True).close()
-            files.delete(self._path(f"{self.root}/batch={name}"), True)
+        files, lock = self._files(), self._path(f"{self.root}/fold.lock")
+        if break_lock:
+            files.delete(lock, False)
+        if not files.createNewFile(lock):
+            return False
+        try:
+            names = self.batches()
+            if len(names) < 2:
+                return False
+            fold = f"fold-{uuid.uuid4().hex}"
+            for name in names:
+                files.create(self._path(f"{self.root}/folded/{fold}/{name}"), True).close()
+            if not self._publish(fold, self._sums(names)):
+                files.delete(self._path(f"{self.root}/folded/{fold}"), True)
+                return False
+            for name in names:
+                if name.startswith("fold-"):
+                    files.create(self._path(f"{self.root}/past/{name}"), True).close()
+                files.delete(self._path(f"{self.root}/batch={name}"), True)
+            return True
+        finally:
+            files.delete(lock, False)
