@@ -10,17 +10,41 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from leafgraph.llm import embedding_dedup, exact_dedup, language_id, license_scan, line_dedup, minhash_dedup, mixing, piece_codec, token_rollup, toxicity
+from leafgraph.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    piece_codec,
+    queries,
+    token_rollup,
+    toxicity,
+)
 from leafgraph.llm.components import connected_components
 from leafgraph.llm.shingles import shingle_sets
 from pyspark.sql import functions as F
 
-SHAPE = "doc_id long, text string, lang string, source string, leaf string, rep string, component string, place string"
+#: Names that the operators use themselves, or did.
+CLASHING = (
+    "leaf rep component place __id __text __other __other_text __kept __kept_id __doc __source __size __target __copies __copy __mix_source"
+    " __mix_size __mix_target __mix_copies __mix_copy __toxicity decoded n row digest"
+).split()
+SHAPE = "doc_id long, text string, lang string, source string, " + ", ".join(f"{name} string" for name in CLASHING)
 
 
 def table(spark, rows):
-    """Documents with extra columns whose names the operators use themselves."""
-    return spark.createDataFrame([(*r, *[None] * (4 - len(r)), "x", "y", None, "z") for r in rows], SHAPE)
+    """Documents with extra columns that have clashing names."""
+    return spark.createDataFrame([(*r, *[None] * (4 - len(r)), *CLASHING) for r in rows], SHAPE)
+
+
+def unharmed(spark, got, want_rows):
+    """All columns are there, and the extra ones hold what they held."""
+    assert got.columns == table(spark, []).columns
+    rows = got.collect()
+    assert all(tuple(r[4:]) == tuple(CLASHING) for r in rows) and len(rows) == want_rows
 
 
 def words(seed, n):
@@ -74,15 +98,37 @@ def test_exact_groups(spark, leaves):
     got = [tuple(x) for x in exact_dedup.exact_groups(table(spark, rows), leaves=leaves).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     kept = exact_dedup.drop_exact_copies(table(spark, rows))
-    assert kept.count() == len(groups) and kept.columns == table(spark, rows).columns
+    unharmed(spark, kept, len(groups))
+    unique = table(spark, [r for r in {r[0]: r for r in rows}.values() if r[0] is not None])
+    unharmed(spark, exact_dedup.drop_exact_copies(unique), len({normal(r[1]) for r in rows}))
 
 
-def test_merging_keeps_apart_what_only_looks_equal():
-    import pandas as pd
+def entries(rows):
+    return np.array([(digest + n.to_bytes(8, "big"), least, k) for digest, n, least, k in rows], dtype=exact_dedup.ENTRY)
 
-    frame = pd.DataFrame({"place": [0, 0, 0], "leaf": [0, 1, 2], "digest": [b"a" * 32] * 3, "n_bytes": [5, 5, 6], "least_id": [9, 4, 1], "n": [1, 2, 1]})
-    got = pd.concat(exact_dedup._merge_sorted(iter([frame.iloc[:1], frame.iloc[1:]])))
-    assert got[["n_bytes", "least_id", "n"]].values.tolist() == [[5, 4, 3], [6, 1, 1]]
+
+def test_merging_keeps_apart_what_only_looks_equal():
+    a, z = b"a" * 32, b"z" * 31 + b"\0"
+    runs = [entries([(a, 5, 9, 1), (z, 7, 3, 1)]), entries([(a, 5, 4, 2), (a, 6, 1, 1)])]
+    got = np.concatenate(list(exact_dedup.merge_runs(iter(sorted(runs, key=lambda r: r["key"][0])))))
+    assert got.tolist() == entries([(a, 5, 4, 3), (a, 6, 1, 1), (z, 7, 3, 1)]).tolist()
+
+
+@given(st.lists(st.lists(st.integers(0, 40), max_size=12), max_size=6), st.integers(1, 5))
+@settings(max_examples=80, deadline=None)
+def test_runs_merge_like_a_sum_over_all(runs, size):
+    """Whatever the runs and the size of their blocks."""
+    want, blocks = {}, []
+    for number, run in enumerate(runs):
+        run = sorted(set(run))
+        for k in run:
+            least, n = want.get(k, (10**6, 0))
+            want[k] = (min(least, 100 * number + k), n + 1)
+        rows = [(k.to_bytes(32, "big"), 1, 100 * number + k, 1) for k in run]
+        blocks += [entries(rows[i : i + size]) for i in range(0, len(rows), size)]
+    got = list(exact_dedup.merge_runs(iter(sorted(blocks, key=lambda b: b["key"][0]))))
+    flat = np.concatenate([np.empty(0, exact_dedup.ENTRY), *got])
+    assert [(int.from_bytes(e[0].ljust(40, b"\0")[:32], "big"), (int(e[1]), int(e[2]))) for e in flat.tolist()] == sorted(want.items())
 
 
 # ---- 7: near ----------------------------------------------------------------------------------------------------------
@@ -116,6 +162,7 @@ def test_near_groups(spark, percent):
 def test_near_groups_that_no_head_links(spark, monkeypatch):
     """A chain whose ends are not alike, and chunks that are smaller than the buckets."""
     monkeypatch.setattr(minhash_dedup, "CHUNK", 4)
+    monkeypatch.setattr(minhash_dedup, "CHUNK_ITEMS", 500)
     base = words(5, 200)
     rows = [(i, " ".join([f"e{j}" if j < 3 * i else w for j, w in enumerate(base)])) for i in range(30)]
     sets = {r[0]: shingles(r[1]) for r in rows}
@@ -129,7 +176,25 @@ def test_keep_one_of_each_group(spark):
     rows = awkward()
     kept = minhash_dedup.keep_one_of_each_group(table(spark, rows))
     ids = [r.doc_id for r in kept.collect()]
-    assert 1000 not in ids and 0 in ids and ids.count(None) == 2 and kept.columns == table(spark, rows).columns
+    assert 1000 not in ids and 0 in ids and ids.count(None) == 2
+    unharmed(spark, kept, len(ids))
+
+
+def test_near_groups_of_long_texts(spark):
+    """A document of a million words, a word of three million characters, and sets in chunks of few shingles."""
+    long, giant = " ".join(f"w{i}" for i in range(1_000_000)), "x" * 3_000_000
+    rows = [(1, long), (2, long.replace("w7 ", "edit ")), (3, giant), (4, giant + " y"), (5, giant.upper())]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicate_groups(table(spark, rows)).collect()}
+    assert got == {1: (999_996, 1), 2: (999_996, 1), 3: (1, 3), 4: (1, 4), 5: (1, 3)}
+
+
+def test_words_are_hashed_alike_in_any_parts(monkeypatch):
+    from leafgraph.llm import shingles as module
+
+    texts = [b"the Quick brown\tfox " * 40, b"", b"x" * 5000 + b" a b c d e f", b"  lead " + b"Z" * 900 + b"\n" + b"y" * 12000]
+    whole = shingle_sets(texts, 5)
+    monkeypatch.setattr(module, "_CHUNK", 300)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, shingle_sets(texts, 5), strict=True))
 
 
 def test_circulant_signatures_estimate_similarity():
@@ -272,7 +337,7 @@ def test_mixing(spark):
     again = sorted(tuple(x) for x in mixing.mix_plan(table(spark, rows).repartition(3)).na.fill(-1).collect())
     assert again == sorted(tuple(x) for x in mixing.mix_plan(table(spark, rows)).na.fill(-1).collect())
     mixed = mixing.mix(table(spark, rows))
-    assert mixed.columns == table(spark, rows).columns and mixed.count() == sum(r.copies for r in plan)
+    unharmed(spark, mixed, sum(r.copies for r in plan))
 
 
 def test_mixing_without_words(spark):
@@ -290,11 +355,11 @@ def test_vector_groups(spark, monkeypatch, cell, chunk):
     x = np.concatenate([base, base[:30] + rng.normal(size=(30, 8)) * 0.2, np.repeat(base[:1], 50, axis=0), base[:30] * 3, base[1] + rng.normal(size=(80, 8)) * 0.1])
     rows = [(i, [float(np.float32(v)) for v in r]) for i, r in enumerate(x)]
     odd = [(900, None), (901, []), (902, [0.0] * 8), (903, [1.0, None] + [0.0] * 6), (904, [float("nan")] + [1.0] * 7), (905, [float("inf")] * 8)]
-    odd += [(906, [1.0, 2.0]), (907, [2.0, 4.0]), (0, rows[0][1])]
+    odd += [(906, [1.0, 2.0]), (907, [2.0, 4.0]), (0, rows[0][1]), (None, rows[0][1])]
     frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>")
     got = [tuple(r) for r in embedding_dedup.vector_groups(frame, cell=cell, sample=100).collect()]
     every = [*rows, *odd]
-    fit = {i for i, (_, v) in enumerate(every) if v and None not in v and np.isfinite(v).all() and any(v)}
+    fit = {i for i, (k, v) in enumerate(every) if k is not None and v and None not in v and np.isfinite(v).all() and any(v)}
     links, pairs = Counter(), []
     for i in fit:
         for j in fit:
@@ -305,9 +370,29 @@ def test_vector_groups(spark, monkeypatch, cell, chunk):
                     links[i] += 1
                     links[j] += 1
                     pairs.append((every[i][0], every[j][0]))
-    root = reach([v for v, _ in every], pairs)
+    root = reach([v for v, _ in every if v is not None], pairs) | {None: None}
     want = [(v, links[i], root[v], root[v] == v) for i, (v, _) in enumerate(every)]
-    assert sorted(got) == sorted(want)
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_bounds_let_every_link_through():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 40))
+    x[100:200] = x[:100] + rng.normal(size=(100, 40)) * 0.3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for leading in (embedding_dedup.leading_components(x), np.eye(40)[:, :3]):
+        low = embedding_dedup._bounding(x, leading)
+        assert (low @ low.T >= x @ x.T - 1e-5).all()
+        found = set(zip(*(k.tolist() for k in embedding_dedup.linked(x, x, low, low, 0.9)), strict=True))
+        assert found == set(zip(*(k.tolist() for k in np.nonzero(x @ x.T >= 0.9)), strict=True)) and len(found) > 300
+
+
+def test_vectors_of_many_components(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(20, 3000))
+    rows = [(i, [float(v) for v in base[i // 2] + rng.normal(size=3000) * 0.05]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.vector_groups(frame).collect()) == [(i, 1, i // 2 * 2) for i in range(40)]
 
 
 # ---- 1: toxicity ------------------------------------------------------------------------------------------------------
@@ -321,7 +406,90 @@ def test_the_grammar_looks_at_clauses():
     assert plain > 0.5 > max(negated, reported) > clean
     assert model.score("I will kill you") > 0.5 > model.score("they kill time") and model.score(None) == model.score("") == clean
     assert model.score("Not today. You idiot!") > 0.5  # a negation ends with its clause
-    assert model.score("idiot that you are") > model.score("idiot")
+    assert model.score("idiot that you are") > 0.5 > model.score("idiot")
+    assert max(model.score(t) for t in ("the word idiot has six letters", "idiot is a word", "Le trottel", "the idiot")) < 0.5
+    assert min(model.score(t) for t in ("that was a stupid idiot", "idiot moron", "tu es un crétin", "du bist ein Trottel")) > 0.5
+
+
+def by_hand(symbols):
+    """What each insult or threat of a clause matches, by looking around it."""
+    out = []
+    for i, s in enumerate(symbols):
+        if s not in "IT":
+            continue
+        back = lambda kind, reach: kind in symbols[max(0, i - reach) : i]  # noqa: B023, E731
+        ahead = lambda kind, reach: kind in symbols[i + 1 : i + 1 + reach]  # noqa: B023, E731
+        aimed = back("P", 4) or ahead("P", 4)
+        if s == "T" and not aimed:
+            continue
+        kinds = [
+            ("negated", back("N", 3)), ("reported", "R" in symbols[:i]), ("mentioned", back("M", 2) or ahead("M", 3)), ("aimed", aimed),
+            ("predicated", back("C", 3)), ("piled", s == "I" and symbols.count("I") > 1), ("described", back("D", 2)), ("bare", True),
+        ]
+        pattern = next(name for name, holds in kinds if holds)
+        out.append((i, "threat" if s == "T" and pattern == "aimed" else pattern))
+    return out
+
+
+@given(st.lists(st.sampled_from("ITPCDMNRoooo"), max_size=14))
+@settings(max_examples=400, deadline=None)
+def test_transducers_match_what_stands_around(symbols):
+    assert list(toxicity.matches(symbols)) == by_hand(symbols)
+
+
+def test_what_counts_is_learned_from_clauses(spark):
+    """The same words make a text toxic in one order and not in another, if the labels say so."""
+    rng = np.random.default_rng(6)
+    rows, labels = [], []
+    for i in range(400):
+        filler = [re.sub(r"\d", lambda m: "abcdefghij"[int(m[0])], w) for w in words(900 + i, 30)]
+        insult = ["idiot", "moron", "loser", "jerk"][i % 4]
+        at = int(rng.integers(0, 20))
+        if i % 2:
+            text = [*filler[:at], "you", "are", "an", insult, *filler[at:]]
+        else:
+            text = ["you", "are", "an", *filler, insult]
+        rows.append((i, " ".join(text)))
+        labels.append((i, i % 2))
+    model = toxicity.train(table(spark, rows[:300]), spark.createDataFrame(labels[:300], "doc_id long, toxic int"))
+    assert [i for i, t in rows[300:] if (model.score(t) >= 0.5) != bool(i % 2)] == []
+    assert max(model.score(t) for t in ("idiot", "the idiot", "the word idiot has six letters", "you are not an idiot")) < 0.5
+    shuffled = 0
+    for i, t in rows[301::2]:
+        shuffled += model.score(" ".join(np.random.default_rng(i).permutation(t.split()))) >= 0.5
+    assert shuffled <= 20  # of 50: chance puts a target near the insult now and then
+
+
+def test_toxicity_of_long_texts():
+    model = toxicity.Model()
+    filler = "the words of an ordinary sentence go on and on, " * 100_000
+    assert model.score(filler) == model.score("") and model.score(filler + "you idiot") > 0.5
+    assert model.score("on " * 1_000_000 + "you idiot " + "on " * 1_000_000) > 0.5
+
+
+def small_folder(spark, tmp_path, rows, labels=()):
+    spark.createDataFrame([(*r, *[None] * (4 - len(r))) for r in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def crc(doc_id, folds):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % folds
+
+
+def test_op1_as_registered(spark, tmp_path):
+    """Folds, scores and predictions of the query, with the model that the labels outside the fold give."""
+    rows = [(i, f"word{i % 7} you are an idiot" if i % 5 == 0 else f"word{i % 7} and so on") for i in range(300)] + [(900, None), (901, ""), (None, "x")]
+    labels = [(i, int(i % 5 == 0)) for i in range(300)]
+    got = queries.op1_toxicity(spark, small_folder(spark, tmp_path, rows, labels)).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted((r[0] for r in rows), key=str)
+    known = [x for x in labels if crc(x[0], 5)]
+    model = toxicity.train(table(spark, rows), spark.createDataFrame(known, "doc_id long, toxic int"))
+    texts = dict(rows)
+    for r in got:
+        assert r.held_out == (crc(r.doc_id, 5) == 0) and r.predicted == int(r.score >= 0.5)
+        assert abs(r.score - model.score(texts[r.doc_id])) < 1e-9 and 0 <= r.score <= 1
+    assert all(r.predicted == int(r.doc_id is not None and r.doc_id < 300 and r.doc_id % 5 == 0) for r in got)
 
 
 def test_toxicity_learns_new_words(spark):
@@ -340,7 +508,8 @@ def test_toxicity_learns_new_words(spark):
     wrong = [i for i, t in rows[400:] if (model.score(t) >= 0.5) != (i % 6 == 0)]
     assert not wrong and model.score("zarkblub") < 1
     kept = toxicity.drop_toxic(docs, model)
-    assert kept.columns == docs.columns and {9000, 9001} <= {r.doc_id for r in kept.collect()}
+    assert {9000, 9001} <= {r.doc_id for r in kept.collect()}
+    unharmed(spark, kept, sum(model.score(r.text) < 0.5 for r in docs.collect()))
 
 
 def test_toxicity_without_labels(spark):
@@ -385,6 +554,50 @@ def test_main_language(spark):
     assert got == sorted([(1, "en", 1.0), (1, "en", 1.0), (2, "und", 0.0), (3, "und", 0.0), (None, "de", 1.0)], key=str)
 
 
+def test_long_texts_are_labelled_like_short_ones(monkeypatch):
+    """In stretches, word by word or side by side, and of a million words."""
+    model = language_id.fit([("the and of with that this", "en"), ("der und die das mit nicht", "de")] * 3)
+    rng = np.random.default_rng(7)
+    text = "".join(("the and of with " if rng.random() < 0.5 else "der und die das, ") * int(rng.integers(1, 30)) for _ in range(60))
+    whole = language_id.label_spans([text, "the", None], model)
+    monkeypatch.setattr(language_id, "LONG_TEXT", 3)
+    assert language_id.label_spans([text, "the", None], model) == whole
+    monkeypatch.setattr(language_id, "_BATCH", 100)
+    monkeypatch.setattr(language_id, "_GRAMS", 37)
+    assert language_id.label_spans([text, "the", None], model) == whole and len(whole[0]) > 10
+    monkeypatch.undo()
+    spans = language_id.label_spans(["the and " * 500_000 + "der und " * 500_000, "z" * 3_000_000], model)
+    assert [s[2] for s in spans[0]] == ["en", "de"] and spans[0][1][0] == 4_000_000 and spans[1][0][1] == 3_000_000
+
+
+def test_scripts_and_ties():
+    model = language_id.fit([("это дом", "ru"), ("the house", "en"), ("das haus", "de")])
+    assert all(model.writes[language_id.SCRIPTS.index("cyrillic")] == [name == "ru" for name in model.languages])
+    points, _, script, _ = language_id._points(["aж中\U00020000"])
+    assert [language_id.SCRIPTS[s] for s in script[:3]] == ["latin", "cyrillic", "han"] and points[3] == 0x20000
+
+
+def test_ties_go_to_the_first_name(spark):
+    spans = spark.createDataFrame([(1, [(0, 2, "fr", 2), (3, 5, "de", 2)]), (2, [])], f"id int, spans {language_id.SPANS}")
+    lang, share = language_id.main_language(F.col("spans"))
+    assert [tuple(r) for r in spans.orderBy("id").select(lang, share).collect()] == [("de", 0.5), ("und", 0.0)]
+
+
+def test_training_counts_on_executors_like_fitting(spark):
+    rows = [(i, t, lang, None) for i, (t, lang) in enumerate([("the house of cards", "en"), ("das haus", "de"), ("the end", "en"), (None, "en"), ("x", None)])]
+    trained, fitted = language_id.train(table(spark, rows)), language_id.fit([(r[1], r[2]) for r in rows[:3]])
+    assert trained.languages == fitted.languages and np.allclose(trained.table, fitted.table) and (trained.writes == fitted.writes).all()
+
+
+def test_op5_as_registered(spark, tmp_path):
+    en, de = "the cat sat on the mat and looked at that other one", "die katze saß auf der matte und sah die andere an"
+    rows = [(i, [en, de][i % 2] + f" {i}", ["en", "de"][i % 2], None) for i in range(60)] + [(100, None, "en", None), (101, "12 !", None, None), (None, en, None, None)]
+    got = {r.doc_id: r for r in queries.op5_language_id(spark, small_folder(spark, tmp_path, rows)).collect()}
+    assert len(got) == len(rows) and all(r.held_out == (crc(r.doc_id, 3) == 1) and 0 <= r.score <= 1 for r in got.values())
+    assert all(got[i].lang_pred == ["en", "de"][i % 2] for i in range(60)) and got[None].lang_pred == "en"
+    assert (got[100].lang_pred, got[100].score, got[101].lang_pred) == ("und", 0.0, "und")
+
+
 # ---- 6: pieces --------------------------------------------------------------------------------------------------------
 
 ODD = ["", "a", "  a  b ", "▁x ▁▁", "\n\n a\tb\r\n", "日本語 текст \U0001f642\U0001f642 x", " " * 300, "ab" * 400, "é́ \U0001d518", "\0\x01", "word " * 500]
@@ -424,10 +637,63 @@ def test_dropout_is_keyed(monkeypatch):
     assert [p.tolist() for p in piece_codec.encode_batch([text] * 4, np.array([1, 2, 3, 1]))] == one
 
 
+def pieces_by_hand(text, key, dropout, seed=piece_codec.SEED):
+    """The whole text as one list of symbols, all candidates looked at for each merge."""
+    p, mix = piece_codec.load(), piece_codec.mix64
+    limit = np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
+    named = mix(mix(np.array([key]).view(np.uint64) ^ np.uint64(seed)))
+    symbols = []
+    for i, c in enumerate(" " + text):
+        known = p.space if c == " " else -1 if c == "▁" else int(p.of_point[ord(c)]) if ord(c) < 0x10000 else p.of_far_point.get(ord(c), -1)
+        symbols.append((i, i + 1, known, c))
+    while True:
+        best = None
+        for k, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)):
+            found = p.pairs.get(a[2] << 16 | b[2]) if a[2] >= 0 and b[2] >= 0 else None
+            if found and not piece_codec._skipped(named, *(np.array([x]) for x in (a[0], a[1], b[1])), limit)[0]:
+                best = min(best or (found[0], k), (found[0], k))
+        if best is None:
+            break
+        a, b = symbols[best[1] : best[1] + 2]
+        symbols[best[1] : best[1] + 2] = [(a[0], b[1], p.pairs[a[2] << 16 | b[2]][1], "")]
+    out = []
+    for _, _, piece, c in symbols:
+        out += [piece] if piece >= 0 else p.byte_piece[list(c.encode())].tolist()
+    return out
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
+def test_dropout_like_an_agenda_by_hand(dropout, monkeypatch):
+    texts = ["The quick brown fox, jumped  over it!", "日本語 ▁ текст \U0001f642 internationalization", "aaaa" * 20 + " banana bandana", " \n x"]
+    want = [pieces_by_hand(t, 7 + i, dropout) for i, t in enumerate(texts)]
+    assert [x.tolist() for x in piece_codec.encode_batch(texts, np.arange(7, 11), dropout=dropout)] == want
+    monkeypatch.setattr(piece_codec, "LONG", 4)
+    monkeypatch.setattr(piece_codec, "_BATCH", 8)  # in parts
+    assert [x.tolist() for x in piece_codec.encode_batch(texts, np.arange(7, 11), dropout=dropout)] == want
+
+
+def test_pieces_of_long_texts():
+    texts = ["some ordinary words, " * 150_000, "ab" * 200_000, " " * 100_000]
+    assert decoded(piece_codec.encode_batch(texts, np.arange(3))) == texts
+
+
 def test_pieces_of_a_table(spark):
     docs = table(spark, awkward())
-    got = piece_codec.decode(piece_codec.encode(docs)).collect()
+    encoded = piece_codec.encode(docs)
+    got = piece_codec.decode(encoded).collect()
     assert len(got) == docs.count() and all(r.decoded == (r.text or "") for r in got)
+    again = piece_codec.decode(encoded.selectExpr("doc_id", "'old' as Decoded", "pieces", "text"))
+    assert again.columns == ["doc_id", "pieces", "text", "decoded"] and all(r.decoded == (r.text or "") for r in again.collect())
+    none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, pieces array<int>")
+    assert [r.decoded for r in piece_codec.decode(none).collect()] == ["", ""]
+
+
+def test_op6_as_registered(spark, tmp_path):
+    rows = [(1, "one two three"), (2, None), (3, "é\U0001f642"), (None, "x")]
+    got = {r.doc_id: r for r in queries.op6_piece_codec(spark, small_folder(spark, tmp_path, rows)).collect()}
+    for doc, text in rows:
+        assert got[doc].lossless and got[doc].n_pieces == len(got[doc].pieces)
+        assert got[doc].pieces == (pieces_by_hand(text, doc or 0, piece_codec.DROPOUT) if text else [])
 
 
 # ---- 10: token counts -------------------------------------------------------------------------------------------------
@@ -457,6 +723,58 @@ def test_rollup(spark, tmp_path):
         rollup.commit("a/b", token_rollup.inserts(counts, "v1", "t"))
 
 
+def test_a_fold_that_fails_loses_nothing(spark, tmp_path, monkeypatch):
+    counts = spark.createDataFrame([("a", "en", 5)], "source string, lang string, t long")
+    rollup = token_rollup.Rollup(spark, f"file://{tmp_path}/rollup")
+    for name in ("one", "two"):
+        rollup.commit(name, token_rollup.inserts(counts, "v1", "t"))
+    monkeypatch.setattr(rollup, "_publish", lambda name, sums: False)
+    assert not rollup.fold() and [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(2, 10)]
+    monkeypatch.undo()
+    real = rollup._publish
+
+    def meanwhile(name, sums):
+        if name.startswith("fold-"):
+            assert not rollup.fold()  # one at a time
+            rollup.commit("three", token_rollup.inserts(counts, "v1", "t"))
+        return real(name, sums)
+
+    monkeypatch.setattr(rollup, "_publish", meanwhile)
+    assert rollup.fold() and len(rollup.batches()) == 2
+    assert [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(3, 15)]
+    rollup._files().createNewFile(rollup._path(f"{rollup.root}/fold.lock"))
+    assert not rollup.fold() and rollup.fold(break_lock=True) and [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(3, 15)]
+
+
+@given(st.lists(st.sampled_from(["word", " ", "x's", "\n" * 30, " " * 21, " \n" * 15, "\x1c" * 25, "7", "!", "\u3000" * 22]), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_long_runs_of_white_space_count_alike(parts):
+    text, run = "".join(parts), token_rollup._RUN
+    try:
+        token_rollup._RUN = re.compile(run.pattern.replace("10000", "20"))
+        assert token_rollup.n_tokens(text) == len(token_rollup._encodings(token_rollup.DEFAULT_RANKS)[0].encode_ordinary(text))
+    finally:
+        token_rollup._RUN = run
+
+
+@pytest.mark.parametrize("n", [1_000_000, 10_000_000])
+def test_texts_of_white_space(n):
+    assert token_rollup.n_tokens(" " * n) == n and token_rollup.n_tokens("\n" * n + "x") > 0
+
+
+def test_op10_as_registered(spark, tmp_path):
+    rows = [(1, "hello world", "en", "a"), (2, "hello  there, you", "en", "a"), (3, None, "en", "b"), (4, "x y", None, None), (5, "", "de", "b"), (5, "", "de", "b")]
+    got = {tuple(r) for r in queries.op10_token_rollup(spark, small_folder(spark, tmp_path, rows)).collect()}
+    encode = token_rollup._encodings(token_rollup.DEFAULT_RANKS)[0].encode_ordinary
+    want = Counter()
+    for _, text, lang, source in rows:
+        for version, n in (("words-1", len((text or "").split())), ("byte_bpe_50k", len(encode(text or "")))):
+            want[source, lang, version, "docs"] += 1
+            want[source, lang, version, "tokens"] += n
+    assert got == {(s, g, v, want[s, g, v, "docs"], want[s, g, v, "tokens"]) for s, g, v, _ in want}
+    assert queries.op10_token_rollup(spark, small_folder(spark, tmp_path / "none", [])).count() == 0
+
+
 def test_token_counts(spark):
     docs = table(spark, [(1, "hello world"), (2, None), (3, "")])
     assert [r.n for r in docs.select(token_rollup.count_tokens(F.col("text")).alias("n")).collect()] == [2, 0, 0]
