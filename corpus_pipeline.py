@@ -1,6 +1,7 @@
 """A corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
-Part of the subpackage ``leafgraph.llm``: it goes where that goes.
+Part of the subpackage ``leafgraph.llm``: it goes where that goes.  Every stage but the last returns the columns that it
+got, whatever else they are called.  An empty table passes through all stages and stays empty.
 """
 
 from __future__ import annotations
@@ -15,22 +16,25 @@ from leafgraph.llm.store import stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labelled documents, and drop the documents that score 0.5 or more."""
+    """Learn from the labelled documents, and drop the documents that score 0.5 or more.
+
+    Null and empty texts match nothing and stay; so do rows with a null id, unless their text is toxic.
+    """
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of equal texts."""
+    """Keep the smallest id of equal texts: null and empty texts are equal, a null id comes last, one of repeated rows stays."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near duplicates (five words, 0.8)."""
+    """Keep the smallest id of each group of near duplicates (five words, 0.8); texts without words and null ids stay."""
     return minhash_dedup.keep_one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents so that sources come near their target weights."""
+    """Repeat or drop documents so that sources come near their target weights; a null source is a source of its own."""
     return mixing.mix(docs)
 
 
