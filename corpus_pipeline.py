@@ -43,10 +43,9 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A row whose pieces do not spell its text ends the run with an error.
     """
-    decoded = piece_codec.decode(piece_codec.encode(docs))
-    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
+    encoded = piece_codec.round_trip(docs)
     lost = F.raise_error(F.concat(F.lit("pieces do not spell the text of document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    whole = decoded.where(F.when(lossless, F.lit(True)).otherwise(lost.cast("boolean")))
+    whole = encoded.where(F.when(F.col("lossless"), F.lit(True)).otherwise(lost.cast("boolean")))
     return whole.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
 
 

@@ -403,18 +403,40 @@ def encode(docs: DataFrame, model_file: str = DEFAULT_MODEL, dropout: float = DR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            keys = np.array([k or 0 for k in batch.column("doc_id").to_pylist()], dtype=np.int64)
-            found = encode_batch(texts, keys, model_file, dropout, seed)
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+            lists, _ = _encoded(batch, model_file, dropout, seed)
             yield pa.record_batch([batch.column("doc_id"), batch.column("text"), lists], names=("doc_id", "text", "pieces"))
 
     read = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     return read.mapInArrow(run, "doc_id long, text string, pieces array<int>")
 
 
+def _encoded(batch: pa.RecordBatch, model_file: str, dropout: float, seed: int) -> tuple[pa.ListArray, list[str]]:
+    texts = [t or "" for t in batch.column("text").to_pylist()]
+    keys = np.array([k or 0 for k in batch.column("doc_id").to_pylist()], dtype=np.int64)
+    found = encode_batch(texts, keys, model_file, dropout, seed)
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+    flat = np.concatenate(found) if found else np.empty(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())), texts
+
+
+def round_trip(docs: DataFrame, model_file: str = DEFAULT_MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """``doc_id, pieces, lossless`` for each row of ``docs``: ``encode``, and whether ``decode`` of that gives the text again.
+
+    Both run in one Python worker, so that a text goes there once and does not come back.
+    """
+    arrow_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, "text"):
+            lists, texts = _encoded(batch, model_file, dropout, seed)
+            spelled = decode_pieces_batch(lists.values.to_numpy(), lists.offsets.to_numpy(), model_file)
+            same = pa.array([a == b for a, b in zip(texts, spelled, strict=True)], pa.bool_())
+            yield pa.record_batch([batch.column("doc_id"), lists, same], names=("doc_id", "pieces", "lossless"))
+
+    read = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
+    return read.mapInArrow(run, "doc_id long, pieces array<int>, lossless boolean")
+
+
 def decode(encoded: DataFrame, model_file: str = DEFAULT_MODEL, into: str = "decoded") -> DataFrame:
     """``encoded`` with column ``into``, the text that ``pieces`` spell; null or no pieces spell the empty text.
 

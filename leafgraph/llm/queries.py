@@ -127,9 +127,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's pieces, and whether decoding them gives back its text."""
-    decoded = piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents")))
-    lossless = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return decoded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", lossless.alias("lossless"))
+    encoded = piece_codec.round_trip(table(spark, sf_dir, "documents"))
+    return encoded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -688,6 +688,16 @@ def test_pieces_of_a_table(spark):
     assert [r.decoded for r in piece_codec.decode(none).collect()] == ["", ""]
 
 
+def test_a_wrong_decoder_is_noticed(spark, monkeypatch):
+    rows = [(1, "one two"), (2, "")]
+    assert [r.lossless for r in piece_codec.round_trip(table(spark, rows)).collect()] == [True, True]
+    batch = spark.createDataFrame(rows, "doc_id long, text string").toArrow().to_batches()[0]
+    lists, texts = piece_codec._encoded(batch, piece_codec.DEFAULT_MODEL, 0.1, 1)
+    broken = lists.values.to_numpy().copy()
+    broken[1] = broken[0]
+    assert piece_codec.decode_pieces_batch(broken, lists.offsets.to_numpy()) != texts
+
+
 def test_op6_as_registered(spark, tmp_path):
     rows = [(1, "one two three"), (2, None), (3, "é\U0001f642"), (None, "x")]
     got = {r.doc_id: r for r in queries.op6_piece_codec(spark, small_folder(spark, tmp_path, rows)).collect()}

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from leafgraph.llm import mixing, piece_codec, toxicity
 from leafgraph.llm.store import table
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -124,7 +125,7 @@ def test_pieces_are_decoded(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "one two"), (2, ""), (3, None), (None, "x")], "doc_id long, text string")
     got = {(r.doc_id, r.n_pieces, len(r.pieces)) for r in corpus_pipeline.encode_pieces(spark, docs, SF).collect()}
     assert {d for d, _, _ in got} == {1, 2, 3, None} and all(n == size for _, n, size in got)
-    encode = piece_codec.encode
-    monkeypatch.setattr(piece_codec, "encode", lambda docs: encode(docs).selectExpr("doc_id", "concat(text, '!') as text", "pieces"))
+    whole = piece_codec.round_trip
+    monkeypatch.setattr(piece_codec, "round_trip", lambda docs: whole(docs).withColumn("lossless", F.expr("doc_id <> 2")))
     with pytest.raises(Exception, match="do not spell the text of document"):
         corpus_pipeline.encode_pieces(spark, docs, SF).collect()
