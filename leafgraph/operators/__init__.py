@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafgraph.operators.parser import parse_documents
 from leafgraph.plans.dialect import SPARK
 from leafgraph.plans.relations import RELATIONS, closure, compile_sql, uses
 from leafgraph.plans.rules import LAYER_TYPES
@@ -18,7 +19,33 @@ from leafgraph.session import materialised
 
 
 #: Relations that a plan which reads them several times writes out once.
-SHARED = ("nodes", "tokens", "instances", "parents", "components")
+SHARED = ("node_tree", "nodes", "tokens", "marks", "emphasis", "instances", "parents", "components", "component_tokens", "nesting_depth")
+
+
+class _Plans:
+    """The relations of one table of documents.  With ``share``, what several of ``names`` read is written once."""
+
+    def __init__(self, documents: DataFrame, names: Iterable[str], share: bool) -> None:
+        self.spark, self.frames = documents.sparkSession, {"documents": documents.select("doc_id", "text")}
+        self.given: dict[str, str] = {}
+        names = list(names)
+        needed = {n for name in names for n in closure(name)}
+        if "node_tree" in needed:
+            self._give("node_tree", parse_documents(self.frames["documents"]), share and sum(uses(n, "node_tree") for n in names) > 1)
+        for n in SHARED[1:] if share else ():
+            if n in needed and sum(uses(name, n) for name in names if name != n) > 1:
+                self._give(n, self.plan(n), True)
+
+    def _give(self, name: str, frame: DataFrame, write: bool) -> None:
+        self.frames[name] = materialised(frame, name) if write else frame
+        self.given[name] = f"select * from ::{name}::"
+
+    def plan(self, name: str) -> DataFrame:
+        if name in self.given:
+            return self.frames[name]
+        sql = compile_sql(name, SPARK, "select * from ::documents::", self.given)
+        used = {n: frame for n, frame in self.frames.items() if f"::{n}::" in sql}
+        return self.spark.sql(_escaped(sql, used), **used)
 
 
 def relation(name: str, documents: DataFrame, share: bool = True) -> DataFrame:
@@ -29,20 +56,7 @@ def relation(name: str, documents: DataFrame, share: bool = True) -> DataFrame:
     """
     if name not in RELATIONS:
         raise KeyError(f"no relation {name!r}; there are {', '.join(sorted(RELATIONS))}")
-    spark, frames = documents.sparkSession, {"documents": documents.select("doc_id", "text")}
-    given: dict[str, str] = {}
-
-    def plan(n: str) -> DataFrame:
-        sql = compile_sql(n, SPARK, "select * from ::documents::", given)
-        used = {"documents": frames["documents"]} | {g: frames[g] for g in given if f"::{g}::" in sql}
-        return spark.sql(_escaped(sql, used), **used)
-
-    if share:
-        for n in SHARED:
-            if n != name and uses(name, n) > 1:
-                frames[n] = materialised(plan(n), n)
-                given[n] = f"select * from ::{n}::"
-    return plan(name)
+    return _Plans(documents, [name], share).plan(name)
 
 
 def _escaped(sql: str, frames: Iterable[str]) -> str:
@@ -74,14 +88,15 @@ def classify(documents: DataFrame, layer_types: list[str] | None = None) -> Data
 
 
 def analyse(documents: DataFrame, strict: bool = False) -> dict[str, DataFrame]:
-    """The whole model of a table of documents, by relation name.  All frames are lazy.
+    """The whole model of a table of documents, by relation name.  What several relations read is written out once.
 
     ``strict`` checks first that no document is blank and afterwards that no critical check fails, and raises if one does.
     """
     if strict and documents.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")).limit(1).count():
         raise ValueError("some documents are blank")
-    out = {name: relation(name, documents, share=False) for name in RELATIONS}
-    if strict and relation("validation_report", documents).where("not critical_passed").limit(1).count():
+    plans = _Plans(documents, RELATIONS, share=True)
+    out = {name: plans.plan(name) for name in RELATIONS}
+    if strict and out["validation_report"].where("not critical_passed").limit(1).count():
         raise ValueError("some documents fail a critical check")
     return out
 

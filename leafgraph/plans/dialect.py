@@ -28,6 +28,13 @@ class Spark:
     def explode(self, source: str, keep: str, array: str, pos: str, val: str, where: str = "true") -> str:
         return f"select {keep}, {pos}, {val} from {source} lateral view posexplode({array}) as {pos}, {val} where {where}"
 
+    def sequence(self, first: str, last: str) -> str:
+        return f"sequence({first}, {last})"
+
+    def json_text(self, value: str) -> str:
+        """A string as a JSON string."""
+        return f"substring(to_json(named_struct('t', {value})), 6, length(to_json(named_struct('t', {value}))) - 6)"
+
     def joined(self, value: str, separator: str, *order: str, when: str = "true") -> str:
         keys = ", ".join(f"{k} as k{i}" for i, k in enumerate(order))
         return (
@@ -70,6 +77,12 @@ class DuckDb(Spark):
     def joined(self, value: str, separator: str, *order: str, when: str = "true") -> str:
         return f"coalesce(string_agg({value}, {separator} order by {', '.join(order)}) filter (where {when}), '')"
 
+    def sequence(self, first: str, last: str) -> str:
+        return f"range({first.replace(' div ', ' // ')}, {last.replace(' div ', ' // ')} + 1)"
+
+    def json_text(self, value: str) -> str:
+        return f"cast(to_json({value}) as varchar)"
+
     def last_known(self, value: str, over: str) -> str:
         return f"last_value({value} ignore nulls) over ({over})"
 

@@ -11,7 +11,7 @@ from leafgraph.operators import classify, relation
 from leafgraph.plans import graph
 from leafgraph.plans.dialect import DUCKDB
 from leafgraph.plans.relations import RELATIONS, compile_sql
-from leafgraph.sources import load_table, markdown_corpus, markdown_corpus_sql
+from leafgraph.sources import corpus_tree_sql, load_table, markdown_corpus, markdown_corpus_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,6 +32,27 @@ def _over_corpus(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: relation(name, markdown_corpus(spark, sf_dir))
 
 
+def corpus_oracle(name: str) -> str:
+    """A relation of the Markdown corpus in DuckDB: its blocks are known from how the corpus is made, not parsed."""
+    return compile_sql(name, DUCKDB, markdown_corpus_sql(DUCKDB), {"node_tree": corpus_tree_sql(DUCKDB)})
+
+
+#: The blocks of the pages: all begin with a declaration that ends on their first line, and what follows is prose.
+_PAGE_TREE = f"""
+    select doc_id, block_id, cast(null as int) as parent_block, 0 as depth, block_id as sibling_ix, node_type, block_id as line_start,
+           case block_id when 0 then 1 else 1 + len(string_split(raw, chr(10))) end as line_end, char_start,
+           cast(char_start + length(raw) as int) as char_end, raw, '' as language, cast(null as int) as heading_level,
+           cast(null as varchar) as heading_style, cast(null as varchar) as list_style, cast(null as int) as list_level
+    from (select doc_id, 0 as block_id, 'html_block' as node_type, 0 as char_start, string_split(text, chr(10))[1] as raw from ({_PAGES}) p
+          union all select doc_id, 1, 'paragraph', cast(position(chr(10) in text) as int), substring(text, position(chr(10) in text) + 1) from ({_PAGES}) q
+          where position(chr(10) in text) > 0) b"""
+
+
+def page_oracle(name: str) -> str:
+    """A relation of the pages in DuckDB, from what is known of how they begin."""
+    return compile_sql(name, DUCKDB, _PAGES, {"node_tree": _PAGE_TREE})
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_table(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -51,19 +72,19 @@ for _name in RELATIONS:
     if _name in _PROSE:
         _add(_name, lambda s, d, n=_name: relation(n, _documents(s, d)), compile_sql(_name, DUCKDB, _DOCUMENTS))
     else:
-        _add(_name, _over_corpus(_name), compile_sql(_name, DUCKDB, markdown_corpus_sql(DUCKDB)))
+        _add(_name, _over_corpus(_name), corpus_oracle(_name))
 
 _add("load_documents", _documents, _DOCUMENTS)
 _add("markdown_corpus", markdown_corpus, markdown_corpus_sql(DUCKDB))
 _add("conversation_documents", _turns, _TURNS)
 _add("conversation_coverage", lambda s, d: relation("token_coverage", _turns(s, d)), compile_sql("token_coverage", DUCKDB, _TURNS))
-_add("page_html_blocks", lambda s, d: relation("html_blocks", _pages(s, d)), compile_sql("html_blocks", DUCKDB, _PAGES))
-_add("page_html_inline", lambda s, d: relation("html_inline", _pages(s, d)), compile_sql("html_inline", DUCKDB, _PAGES))
-_add("page_html_attributes", lambda s, d: relation("html_attributes", _pages(s, d)), compile_sql("html_attributes", DUCKDB, _PAGES))
+_add("page_html_blocks", lambda s, d: relation("html_blocks", _pages(s, d)), page_oracle("html_blocks"))
+_add("page_html_inline", lambda s, d: relation("html_inline", _pages(s, d)), page_oracle("html_inline"))
+_add("page_html_attributes", lambda s, d: relation("html_attributes", _pages(s, d)), page_oracle("html_attributes"))
 _add(
     "layer_filter",
     lambda s, d: classify(markdown_corpus(s, d), ["table", "heading"]),
-    compile_sql("instances", DUCKDB, markdown_corpus_sql(DUCKDB)) + " where layer_type in ('table', 'heading')",
+    corpus_oracle("instances") + " where layer_type in ('table', 'heading')",
 )
 _add(
     "prose_validation",

@@ -28,6 +28,10 @@ LEAVES = "code_block indented_code_block diagram figure metadata inline_code emp
 SPACES = r"\x{9}-\x{d}\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
 TOKEN = rf"[\p{{L}}\p{{N}}\p{{M}}_]+|[{SPACES}]+|[^{SPACES}\p{{L}}\p{{N}}\p{{M}}_]"
 
+# A list item that is a task, and first words of diagrams that name no language.
+TASK = r"^\s*(?:[*+-]|[0-9]+[.])\s+\[\s*([xX ])\s*\]\s+(.*)$"
+DIAGRAM_WORDS = "graph flowchart sequencediagram digraph gantt".split()
+
 # Languages of diagrams, HTML tags that carry meaning, HTML tags that open blocks, tags that are never inline,
 # void tags.
 DIAGRAMS = ["mermaid", "graphviz", "plantuml", "dot"]

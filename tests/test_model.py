@@ -1,13 +1,17 @@
 """The document model on literal documents with results worked out by hand."""
 
+import json
 import random
 import re
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from leafgraph.operators import analyse, classify, relation
+from leafgraph.operators.parser import tree_rows
 from leafgraph.plans.dialect import DUCKDB
-from leafgraph.plans.relations import compile_sql
+from leafgraph.plans.relations import RELATIONS
 from leafgraph.plans.rules import NESTING, nesting_depths, nesting_pairs
 
 
@@ -48,14 +52,15 @@ def test_gaps_between_semantic_tokens(spark):
 def test_nodes_of_the_contract_document(spark):
     got = relation("nodes", documents(spark, CONTRACT))
     assert rows(got, "char_start", "char_end", "layer_type", "raw") == [
-        (0, 7, "heading", "# Title"), (9, 21, "paragraph", "Hello world."), (23, 40, "list", "- Item 1\n- Item 2"),
+        (0, 7, "heading", "# Title"), (9, 21, "paragraph", "Hello world."), (23, 31, "paragraph", "- Item 1"), (23, 40, "list", "- Item 1\n- Item 2"),
+        (32, 40, "paragraph", "- Item 2"),
     ]
 
 
 def test_layers_of_a_document_with_everything(spark):
     got = {r.layer_type: r.n for r in relation("layer_counts", documents(spark, COMPLEX)).collect()}
     assert got == {
-        "metadata": 1, "heading": 3, "paragraph": 3, "emphasis": 2, "inline_code": 1, "link": 1, "table": 1, "task_list": 1, "code_block": 1,
+        "metadata": 1, "heading": 3, "paragraph": 7, "emphasis": 2, "inline_code": 1, "link": 1, "table": 1, "task_list": 1, "code_block": 1,
         "blockquote": 1, "horizontal_rule": 1, "diagram": 1, "footnote_ref": 1, "footnote": 1,
     }
 
@@ -69,14 +74,118 @@ def test_parents_and_depth(spark):
     got = relation("components", documents(spark, COMPLEX)).collect()
     kind = {r.inst_ix: r.layer_type for r in got}
     assert {(r.layer_type, kind[r.parent_ix]) for r in got if r.parent_ix is not None} == {
-        ("emphasis", "paragraph"), ("inline_code", "paragraph"), ("link", "paragraph"), ("emphasis", "blockquote"), ("footnote_ref", "paragraph"),
+        ("emphasis", "paragraph"), ("inline_code", "paragraph"), ("link", "paragraph"), ("footnote_ref", "paragraph"), ("paragraph", "task_list"),
+        ("paragraph", "blockquote"),
     }
-    assert {r.depth for r in relation("nesting_depth", documents(spark, COMPLEX)).collect()} == {0, 1}
+    assert {r.depth for r in relation("nesting_depth", documents(spark, COMPLEX)).collect()} == {0, 1, 2}
 
 
 def test_setext_headings_and_rules(spark):
-    got = relation("headings", documents(spark, "Big\n===\n\nSmall\n---\n\n***\n\n## Closed ##\n"))
-    assert rows(got, "heading_ix", "level", "heading_style", "text") == [(0, 1, "setext", "Big"), (1, 2, "setext", "Small"), (2, 2, "atx", "Closed")]
+    got = relation("headings", documents(spark, "Big\n===\n\nSmall\n---\n\n***\n\n## Closed ##\n\n# C#\n\n- # In # item #\n\n#\n\n> ## Q"))
+    assert rows(got, "heading_ix", "level", "heading_style", "text") == [
+        (0, 1, "setext", "Big"), (1, 2, "setext", "Small"), (2, 2, "atx", "Closed"), (3, 1, "atx", "C#"), (4, 1, "atx", "In # item"), (5, 1, "atx", ""),
+        (6, 2, "atx", "Q"),
+    ]
+
+
+#: Texts and their trees: depth, type and text of each block, as CommonMark nests them.
+TREES = {
+    "````\n```\ninner\n```\n````\n": [(0, "code_block", "````\n```\ninner\n```\n````")],
+    "~~~\n```\nx\n~~~\ny": [(0, "code_block", "~~~\n```\nx\n~~~"), (0, "paragraph", "y")],
+    "- item\n\n  second paragraph\n\n- two": [
+        (0, "list", "- item\n\n  second paragraph\n\n- two"), (1, "list_item", "- item\n\n  second paragraph"), (2, "paragraph", "- item"),
+        (2, "paragraph", "  second paragraph"), (1, "list_item", "- two"), (2, "paragraph", "- two"),
+    ],
+    "- a\n  - b\n- c\n\n      code\n\n  ```py\n  x\n  ```\n1. x\n2) y": [
+        (0, "list", "- a\n  - b\n- c\n\n      code\n\n  ```py\n  x\n  ```"), (1, "list_item", "- a\n  - b"), (2, "paragraph", "- a"), (2, "list", "  - b"),
+        (3, "list_item", "  - b"), (4, "paragraph", "  - b"), (1, "list_item", "- c\n\n      code\n\n  ```py\n  x\n  ```"), (2, "paragraph", "- c"),
+        (2, "indented_code_block", "      code"), (2, "code_block", "  ```py\n  x\n  ```"), (0, "list", "1. x"), (1, "list_item", "1. x"),
+        (2, "paragraph", "1. x"), (0, "list", "2) y"), (1, "list_item", "2) y"), (2, "paragraph", "2) y"),
+    ],
+    "> quote\nlazy\n> - a\n>   > deep\n\nafter": [
+        (0, "blockquote", "> quote\nlazy\n> - a\n>   > deep"), (1, "paragraph", "> quote\nlazy"), (1, "list", "> - a\n>   > deep"),
+        (2, "list_item", "> - a\n>   > deep"), (3, "paragraph", "> - a"), (3, "blockquote", ">   > deep"), (4, "paragraph", ">   > deep"), (0, "paragraph", "after"),
+    ],
+    "para\n1. one\n\npara\n2. two\n\n---\n* * *": [
+        (0, "paragraph", "para"), (0, "list", "1. one"), (1, "list_item", "1. one"), (2, "paragraph", "1. one"), (0, "paragraph", "para\n2. two"),
+        (0, "horizontal_rule", "---"), (0, "horizontal_rule", "* * *"),
+    ],
+    "| a | b |\n|---|---|\n| 1 | 2 |\nno pipe\n\n> | q |\n> |---|\n\na | b\n--- | --- | ---": [
+        (0, "table", "| a | b |\n|---|---|\n| 1 | 2 |\nno pipe"), (0, "blockquote", "> | q |\n> |---|"), (1, "table", "> | q |\n> |---|"),
+        (0, "paragraph", "a | b\n--- | --- | ---"),
+    ],
+    "<!-- a\n\nb -->\n<div>\nx\n</div>\ntext\n<b>\n\n<b>\nc\n\n<script>\n\n</script>\nz": [
+        (0, "html_block", "<!-- a\n\nb -->"), (0, "html_block", "<div>\nx\n</div>"), (0, "paragraph", "text\n<b>"), (0, "html_block", "<b>\nc"),
+        (0, "html_block", "<script>\n\n</script>"), (0, "paragraph", "z"),
+    ],
+    "\tcode\n\n\tmore\n\n-\ttab\n\n\tpara\n- - x\n-\n  late": [
+        (0, "indented_code_block", "\tcode\n\n\tmore"), (0, "list", "-\ttab\n\n\tpara\n- - x\n-\n  late"), (1, "list_item", "-\ttab\n\n\tpara"),
+        (2, "paragraph", "-\ttab"), (2, "paragraph", "\tpara"), (1, "list_item", "- - x"), (2, "list", "- - x"), (3, "list_item", "- - x"),
+        (4, "paragraph", "- - x"), (1, "list_item", "-\n  late"), (2, "paragraph", "  late"),
+    ],
+    "---\na: b\n---\n[^1]: n\n[x]: y\n\n```": [(0, "metadata", "---\na: b\n---"), (0, "footnote", "[^1]: n"), (0, "definition", "[x]: y"), (0, "code_block", "```")],
+    "": [], "\n \n": [],
+}
+
+
+@pytest.mark.parametrize("text", TREES)
+def test_trees(text):
+    got = tree_rows(1, text)
+    assert [(r[3], r[5], r[10]) for r in got] == TREES[text]
+    for i, r in enumerate(got):
+        assert text[r[8] : r[9]] == r[10] and r[1] == i and r[6] == text[: r[8]].count("\n") and r[7] == r[6] + r[10].count("\n") + 1
+        assert r[2] is None or got[r[2]][8] <= r[8] and got[r[2]][9] >= r[9]
+
+
+@given(st.text(alphabet="-*>#`~|1. \n\ta[]^:<b!", max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_trees_of_any_text(text):
+    """Blocks nest, cover every line that is not blank, and are slices of the text."""
+    got = tree_rows(1, text)
+    for r in got:
+        assert text[r[8] : r[9]] == r[10] and (r[2] is None) == (r[3] == 0)
+        if r[2] is not None:
+            p = got[r[2]]
+            assert r[2] < r[1] and p[3] + 1 == r[3] and p[6] <= r[6] and p[7] >= r[7] and p[5] in ("list", "task_list", "list_item", "blockquote")
+            assert (p[5] in ("list", "task_list")) == (r[5] == "list_item")
+    inside = {n for r in got for n in range(r[6], r[7])}
+    assert all(n in inside or not line.strip() for n, line in enumerate(text.split("\n")))
+
+
+def test_a_long_document_is_parsed_in_one_pass():
+    text = "- item `x`\n  > quoted\n\n```\ncode\n```\n\n" * 20_000
+    assert len(tree_rows(1, text)) == 6 * 20_000
+
+
+def test_items_as_json(spark):
+    docs = documents(spark, '- [ ] a\tb "q" \\ é\n  - [x] c')
+    got = {r.block_id: json.loads(r.task_items) for r in relation("task_items_json", docs).collect()}
+    assert got[0] == [{"index": 0, "checked": False, "text": 'a\tb "q" \\ é'}, {"index": 1, "checked": True, "text": "c"}]
+
+
+def test_the_depth_limit_can_be_broken(spark):
+    deep = documents(spark, "> " * 11 + "x", "> " * 10 + "x")
+    assert rows(relation("tree_totals", deep), "doc_id", "max_depth", "within_limit") == [(0, 11, False), (1, 10, True)]
+
+
+def test_elements_of_a_long_document_meet_in_cells(spark):
+    """Instances that reach over many cells, and no more pairs than there are."""
+    text = "> " + "word **bold** and `code`\n> " * 60 + "end\n\n" + "# Head\n\npara *x*\n\n" * 30
+    docs = documents(spark, text)
+    got = {r.inst_ix: r for r in relation("components", docs).collect()}
+    for r in got.values():
+        assert text[r.char_start : r.char_end] == r.raw_content
+        if r.layer_type in ("emphasis", "inline_code"):
+            assert got[r.parent_ix].layer_type == "paragraph" and got[r.parent_ix].char_start <= r.char_start < r.char_end <= got[r.parent_ix].char_end
+    spans = {r.component_id: (r.token_min, r.token_max) for r in relation("component_tokens", docs).collect()}
+    tokens = relation("tokens", docs).collect()
+    owner = {r.token_ix: r.component_id for r in relation("token_owner", docs).collect()}
+    for c in got.values():
+        inside = [t.token_ix for t in tokens if t.char_end > c.char_start and t.char_start < c.char_end]
+        assert spans[c.component_id] == (inside[0], inside[-1])
+    for t in tokens:
+        holders = [(c.char_end - c.char_start, -c.inst_ix, c.component_id) for c in got.values() if c.char_start <= t.char_start < c.char_end]
+        assert owner.get(t.token_ix) == (min(holders)[2] if holders else None)
 
 
 @pytest.mark.parametrize(
@@ -158,7 +267,8 @@ def test_emphasis_in_lists(spark):
     assert sorted(r.hit for r in got if r.emphasis_type == "italic") == ["*it*", "*q*", "*this*", "*two*"]
     parents = {(r.doc_id, r.inst_ix): r for r in relation("components", docs).collect()}
     bold = next(r for r in parents.values() if r.raw_content == "**bold**")
-    assert parents[0, bold.parent_ix].layer_type == "list"
+    assert parents[0, bold.parent_ix].layer_type == "paragraph"
+    assert parents[0, parents[0, bold.parent_ix].parent_ix].layer_type == "list"
 
 
 #: The four scans of the reference.
@@ -180,9 +290,10 @@ def test_emphasis_is_four_scans(spark):
     assert len(got) == len(set(got)) and set(got) == want
     assert {(0, "bold", "**bold with *it* inside**"), (0, "italic", "*it*")} == {(g[0], g[1], g[4]) for g in got if g[0] == 0}
     duck = duckdb.connect()
-    duck.execute("create table documents_md (doc_id bigint, text varchar)")
-    duck.executemany("insert into documents_md values (?, ?)", list(enumerate(texts)))
-    assert set(duck.sql(f"select {columns} from ({compile_sql('emphasis', DUCKDB)}) q").fetchall()) == want
+    # each of these texts is a paragraph
+    duck.execute("create table nodes (doc_id bigint, block_id int, char_start int, layer_type varchar, raw varchar)")
+    duck.executemany("insert into nodes values (?, 0, 0, 'paragraph', ?)", list(enumerate(texts)))
+    assert set(duck.sql(f"select {columns} from ({RELATIONS['emphasis'](DUCKDB)}) q").fetchall()) == want
 
 
 def test_token_owner_and_coverage(spark):
@@ -233,7 +344,7 @@ def test_topics_and_item_tree(spark):
     docs = documents(spark, "intro\n\n# A\n\ntext\n\n- one\n  - two\n    - three\n- four\n")
     under = {(r.layer_type, r.heading_block is None) for r in relation("topics", docs).collect()}
     assert under == {("paragraph", True), ("heading", False), ("paragraph", False), ("list", False)}
-    got = rows(relation("item_tree", docs), "item_ix", "parent_item_ix")
+    got = rows(relation("item_tree", docs).where("block_id = 3"), "item_ix", "parent_item_ix")
     assert got == [(0, None), (1, 0), (2, 1), (3, None)]
 
 
@@ -243,7 +354,7 @@ def test_gates(spark):
     docs = documents(spark, COMPLEX)
     assert all(relation(n, docs).count() == 0 for n in ("v13_keys", "v24_orphans", "v24_cycles"))
     total = relation("tree_totals", docs).first()
-    assert total.total_nodes == 19 and total.max_depth == 1 and relation("hierarchy_flat", docs).count() == 19
+    assert total.total_nodes == 23 and total.max_depth == 2 and relation("hierarchy_flat", docs).count() == 23
 
 
 def test_empty_table(spark):

@@ -1,4 +1,4 @@
-"""Every query of the document model against DuckDB."""
+"""One query of each part of the document model against DuckDB."""
 
 import duckdb
 import pytest
