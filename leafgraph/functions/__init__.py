@@ -1,5 +1,5 @@
 """Column functions: positions in texts, and edits of components, lists, task lists and tables."""
 
-from leafgraph.functions import components, edits, positions
+from leafgraph.functions import components, edits, models, positions
 
-__all__ = ["components", "edits", "positions"]
+__all__ = ["components", "edits", "models", "positions"]

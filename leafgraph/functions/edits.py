@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from leafgraph.functions.components import can_contain
 
 
-def _column(value: Column | int) -> Column:
+def _column(value: Column | int | str | None) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
@@ -41,6 +41,39 @@ def token_span(start: Column, end: Column) -> Column:
     return F.when(end >= start, F.struct(start.alias("start"), end.alias("end")))
 
 
+def get_children(component: Column) -> Column:
+    return component["children"]
+
+
+def set_parent(component: Column, parent_id: Column, parent_type: Column) -> Column:
+    """The component under another parent, or as it is where the nesting rules forbid that."""
+    allowed = can_contain(parent_type, component["layer_type"])
+    return F.when(allowed, component.withField("parent_id", parent_id)).otherwise(component)
+
+
+# ---- fields of one component -----------------------------------------------------------------------------------------
+
+
+def set_level(heading: Column, level: Column | int) -> Column:
+    """The heading with another level, or as it is if that is not from 1 to 6."""
+    level = _column(level)
+    return F.when(level.between(1, 6), heading.withField("level", level)).otherwise(heading)
+
+
+def set_language(code_block: Column, language: Column | str | None) -> Column:
+    return code_block.withField("language", _column(language))
+
+
+#: Styles that a component can have.
+STYLES = {"horizontal_rule": ("dash", "star", "underscore"), "list": ("ordered", "unordered"), "task_list": ("ordered", "unordered")}
+
+
+def set_style(component: Column, layer_type: str, style: Column | str) -> Column:
+    """A rule, list or task list in another style, or as it is if there is no such style."""
+    style = F.lower(_column(style))
+    return F.when(style.isin(*STYLES[layer_type]), component.withField("style", style)).otherwise(component)
+
+
 # ---- lists and task lists --------------------------------------------------------------------------------------------
 
 

@@ -47,6 +47,12 @@ def char_length(start: Column, end: Column) -> Column:
     return end - start
 
 
+def token_range(span: Column) -> Column:
+    """An inclusive span as its two ends; a span that is not set is an error."""
+    unset = F.raise_error(F.lit("the component has no token span"))
+    return F.when(span.isNotNull(), span).otherwise(unset.cast("struct<start:int,end:int>"))
+
+
 def token_count(span: Column) -> Column:
     """Tokens of an inclusive span; 0 without one."""
     return F.coalesce(span["end"] - span["start"] + 1, F.lit(0))

@@ -6,34 +6,51 @@ relation in ``leafgraph.plans.relations``, all with the same shape.  ``classify`
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafgraph.config import Config
 from leafgraph.operators.parser import parse_documents
-from leafgraph.plans.dialect import SPARK
+from leafgraph.plans.dialect import SPARK, Spark
 from leafgraph.plans.relations import RELATIONS, closure, compile_sql, uses
 from leafgraph.plans.rules import LAYER_TYPES
 from leafgraph.session import materialised
 
 
 #: Relations that a plan which reads them several times writes out once.
-SHARED = ("node_tree", "nodes", "tokens", "marks", "emphasis", "instances", "parents", "components", "component_tokens", "nesting_depth")
+SHARED = ("nodes", "tokens", "marks", "emphasis", "instances", "parents", "components", "component_tokens", "nesting_depth", "coverage_stats")
+
+
+Unit = Callable[[DataFrame], DataFrame]
+
+
+class StepError(ValueError):
+    """Some documents are stopped at a step."""
 
 
 class _Plans:
     """The relations of one table of documents.  With ``share``, what several of ``names`` read is written once."""
 
-    def __init__(self, documents: DataFrame, names: Iterable[str], share: bool) -> None:
+    def __init__(
+        self, documents: DataFrame, names: Iterable[str], share: bool, config: Config | None, given: Mapping[str, DataFrame], units: Mapping[str, Unit]
+    ) -> None:
         self.spark, self.frames = documents.sparkSession, {"documents": documents.select("doc_id", "text")}
         self.given: dict[str, str] = {}
+        self.dialect = Spark(config) if config else SPARK
+        if unknown := (set(given) | set(units)) - set(RELATIONS):
+            raise KeyError(f"no relations {', '.join(sorted(unknown))}")
+        for n, frame in given.items():
+            self._give(n, frame, False)
         names = list(names)
-        needed = {n for name in names for n in closure(name)}
-        if "node_tree" in needed:
-            self._give("node_tree", parse_documents(self.frames["documents"]), share and sum(uses(n, "node_tree") for n in names) > 1)
-        for n in SHARED[1:] if share else ():
-            if n in needed and sum(uses(name, n) for name in names if name != n) > 1:
+        needed = [n for n in RELATIONS if any(n in closure(name, self.dialect) for name in names)]
+        if "node_tree" in needed and "node_tree" not in self.given and "node_tree" not in units:
+            self._give("node_tree", parse_documents(self.frames["documents"]), share and sum(uses(n, "node_tree", self.dialect) for n in names) > 1)
+        for n in needed:
+            if n in units:
+                self._give(n, units[n](self.frames["documents"] if n == "node_tree" else self.plan(n)), share)
+            elif share and n in SHARED and n not in self.given and sum(uses(name, n, self.dialect) for name in names if name != n) > 1:
                 self._give(n, self.plan(n), True)
 
     def _give(self, name: str, frame: DataFrame, write: bool) -> None:
@@ -43,20 +60,47 @@ class _Plans:
     def plan(self, name: str) -> DataFrame:
         if name in self.given:
             return self.frames[name]
-        sql = compile_sql(name, SPARK, "select * from ::documents::", self.given)
+        sql = compile_sql(name, self.dialect, "select * from ::documents::", self.given)
         used = {n: frame for n, frame in self.frames.items() if f"::{n}::" in sql}
         return self.spark.sql(_escaped(sql, used), **used)
 
 
-def relation(name: str, documents: DataFrame, share: bool = True) -> DataFrame:
+def relation(
+    name: str,
+    documents: DataFrame,
+    share: bool = True,
+    config: Config | None = None,
+    given: Mapping[str, DataFrame] | None = None,
+    units: Mapping[str, Unit] | None = None,
+) -> DataFrame:
     """A relation over ``documents(doc_id, text)``.
 
     A common subplan would be run again for each of its readers.  With ``share`` the relations of ``SHARED`` that the plan
     reads more than once are written to the shared folder first and read from there; without, the result is one lazy plan.
+    ``config`` has the settings.  ``given`` replaces relations by tables, such as ``nesting`` and ``nesting_rules`` by rules of
+    one's own or ``block_vectors`` by the vectors of a model.  ``units`` puts a function behind a relation, which gets it and
+    returns what is read in its place (``node_tree`` gets the documents: another parser); so a detector is added with
+    ``units={"instances": lambda found: found.unionByName(...)}``.
     """
     if name not in RELATIONS:
         raise KeyError(f"no relation {name!r}; there are {', '.join(sorted(RELATIONS))}")
-    return _Plans(documents, [name], share).plan(name)
+    return _Plans(documents, [name], share, config, given or {}, units or {}).plan(name)
+
+
+def nesting_tables(spark: SparkSession, rules_of: Mapping[str, tuple[Iterable[str], int]], leaves: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """Nesting rules ``{parent: (children, max depth)}`` as the tables that ``given`` takes."""
+    pairs = [(p, c) for p, (children, _) in rules_of.items() for c in children]
+    depths = [(p, depth, False) for p, (_, depth) in rules_of.items()] + [(leaf, 0, True) for leaf in leaves]
+    return {
+        "nesting": spark.createDataFrame(pairs, "parent_type string, child_type string"),
+        "nesting_rules": spark.createDataFrame(depths, "layer_type string, max_depth int, is_leaf boolean"),
+    }
+
+
+def node_by_id(documents: DataFrame, component_id: str) -> DataFrame:
+    """The components with an id, one a document: the first in document order."""
+    found = relation("components", documents).where(F.col("component_id") == component_id)
+    return found.groupBy("doc_id").agg(F.min_by(F.struct("*"), "inst_ix").alias("c")).select("c.*")
 
 
 def _escaped(sql: str, frames: Iterable[str]) -> str:
@@ -78,27 +122,48 @@ def _operator(name: str) -> Callable[[DataFrame], DataFrame]:
 globals().update({name: _operator(name) for name in RELATIONS})
 
 
-def classify(documents: DataFrame, layer_types: list[str] | None = None) -> DataFrame:
-    """Instances of the given layer types (all by default)."""
+def classify(documents: DataFrame, layer_types: list[str] | None = None, config: Config | None = None) -> DataFrame:
+    """Instances of the given layer types, by default those of the settings, and by default of these all."""
+    if layer_types is None and config is not None and config.topology.layer_types_to_detect is not None:
+        layer_types = list(config.topology.layer_types_to_detect)
     unknown = set(layer_types or ()) - set(LAYER_TYPES)
     if unknown:
         raise ValueError(f"unknown layer types: {', '.join(sorted(unknown))}")
-    found = relation("instances", documents)
+    found = relation("instances", documents, config=config)
     return found if layer_types is None else found.where(F.col("layer_type").isin(list(layer_types)))
 
 
-def analyse(documents: DataFrame, strict: bool = False) -> dict[str, DataFrame]:
+def analyse(
+    documents: DataFrame,
+    strict: bool = False,
+    config: Config | None = None,
+    given: Mapping[str, DataFrame] | None = None,
+    units: Mapping[str, Unit] | None = None,
+) -> dict[str, DataFrame]:
     """The whole model of a table of documents, by relation name.  What several relations read is written out once.
 
-    ``strict`` checks first that no document is blank and afterwards that no critical check fails, and raises if one does.
+    ``strict`` raises at the first step that stops a document, as ``first_failures`` says, and if a critical check fails.
     """
+    if strict and (bad := check_schema(documents)):
+        raise StepError(f"V1.0: {bad}")
     if strict and documents.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")).limit(1).count():
-        raise ValueError("some documents are blank")
-    plans = _Plans(documents, RELATIONS, share=True)
+        raise StepError("some documents are blank")
+    plans = _Plans(documents, RELATIONS, True, config, given or {}, units or {})
     out = {name: plans.plan(name) for name in RELATIONS}
-    if strict and out["validation_report"].where("not critical_passed").limit(1).count():
-        raise ValueError("some documents fail a critical check")
+    if strict:
+        stopped = out["first_failures"].groupBy("step_ix", "step").agg(F.count("*").alias("n")).orderBy("step_ix").first()
+        if stopped:
+            raise StepError(f"{stopped['n']} documents are stopped at {stopped['step']}")
+        if out["validation_report"].where("not critical_passed").limit(1).count():
+            raise StepError("some documents fail a critical check")
     return out
 
 
-__all__ = ["analyse", "classify", "closure", "relation", *RELATIONS]
+def check_schema(documents: DataFrame) -> str | None:
+    """What is wrong with the shape of a table of documents (check V1.0), or nothing."""
+    kinds = dict(documents.dtypes)
+    wanted = {"doc_id": ("bigint", "int", "smallint", "tinyint"), "text": ("string",)}
+    return next((f"column {c} is {kinds.get(c, 'missing')}" for c, allowed in wanted.items() if kinds.get(c) not in allowed), None)
+
+
+__all__ = ["StepError", "analyse", "check_schema", "classify", "closure", "nesting_tables", "node_by_id", "relation", *RELATIONS]

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from leafgraph.config import Config
+
 
 class Spark:
     name = "spark"
     size = "array_size"
+    doubles = "array<double>"
+    group_1 = "$1"
+
+    def __init__(self, config: Config | None = None) -> None:
+        #: What relations read their limits and thresholds from.
+        self.config = config or Config()
+
+    def array(self, *values: str) -> str:
+        return f"array({', '.join(values)})"
 
     def rx(self, pattern: str) -> str:
         return "r'" + pattern + "'"
@@ -47,6 +58,10 @@ class Spark:
     def dot(self, a: str, b: str) -> str:
         return f"aggregate(zip_with({a}, {b}, (x, y) -> cast(x as double) * cast(y as double)), 0D, (s, x) -> s + x)"
 
+    def cosine(self, a: str, b: str) -> str:
+        """Cosine of two vectors; 0 where one is missing or zero."""
+        return f"coalesce({self.dot(a, b)} / nullif(sqrt({self.dot(a, a)}) * sqrt({self.dot(b, b)}), 0), 0)"
+
     def values(self, rows: str, name: str, columns: str) -> str:
         return f"select * from values {rows} as {name}({columns})"
 
@@ -54,6 +69,11 @@ class Spark:
 class DuckDb(Spark):
     name = "duckdb"
     size = "len"
+    doubles = "double[]"
+    group_1 = r"\1"
+
+    def array(self, *values: str) -> str:
+        return f"[{', '.join(values)}]"
 
     def rx(self, pattern: str) -> str:
         return "'" + pattern + "'"

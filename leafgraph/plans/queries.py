@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafgraph.config import Config, CorrelationConfig
 from leafgraph.operators import classify, relation
 from leafgraph.plans import graph
-from leafgraph.plans.dialect import DUCKDB
+from leafgraph.plans.dialect import DUCKDB, DuckDb
 from leafgraph.plans.relations import RELATIONS, compile_sql
 from leafgraph.sources import corpus_tree_sql, load_table, markdown_corpus, markdown_corpus_sql
 
@@ -28,13 +29,17 @@ def _add(name: str, query: Callable[[SparkSession, str], DataFrame], sql: str) -
     QUERIES[name], ORACLE_SQL[name] = query, sql
 
 
+#: The corpus has no vectors of a model, so captions are compared by letters.
+_CONFIG = Config(correlation=CorrelationConfig(vectors="letters"))
+
+
 def _over_corpus(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: relation(name, markdown_corpus(spark, sf_dir))
+    return lambda spark, sf_dir: relation(name, markdown_corpus(spark, sf_dir), config=_CONFIG)
 
 
 def corpus_oracle(name: str) -> str:
     """A relation of the Markdown corpus in DuckDB: its blocks are known from how the corpus is made, not parsed."""
-    return compile_sql(name, DUCKDB, markdown_corpus_sql(DUCKDB), {"node_tree": corpus_tree_sql(DUCKDB)})
+    return compile_sql(name, DuckDb(_CONFIG), markdown_corpus_sql(DUCKDB), {"node_tree": corpus_tree_sql(DUCKDB)})
 
 
 #: The blocks of the pages: all begin with a declaration that ends on their first line, and what follows is prose.

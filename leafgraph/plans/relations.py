@@ -197,7 +197,7 @@ def inline_code(d: Spark) -> str:
 
 @relation
 def figures(d: Spark) -> str:
-    return f"""select doc_id, char_start, char_end, {d.extract("hit", r"^!\[([^\]]*)\]", 1)} as caption,
+    return f"""select doc_id, block_id, char_start, char_end, {d.extract("hit", r"^!\[([^\]]*)\]", 1)} as caption,
            {d.extract("hit", r"\]\(([^)\s]+)", 1)} as src from marks where layer_type = 'figure'"""
 
 
@@ -379,9 +379,9 @@ def components(d: Spark) -> str:
 def nesting_depth(d: Spark) -> str:
     """Depth of each instance below its root, and whether its ancestors come back to it.
 
-    The walk ends one step behind ``rules.LEVELS``, so that a deeper tree is told from one of just that depth.
+    The walk ends one step behind the limit of the settings, so that a deeper tree is told from one of just that depth.
     """
-    steps = rules.LEVELS + 1
+    steps = d.config.topology.nesting_depth_limit + 1
     if d.name == "spark":  # a document's parents as one map, walked inside the row
         return f"""
         select doc_id, inst_ix, layer_type, walk.depth as depth, walk.in_cycle as in_cycle from (
@@ -508,6 +508,17 @@ def table_cells(d: Spark) -> str:
            row_ix = 0 and lead_separator as is_header from ({cells}) c"""
 
 
+@relation
+def table_grid(d: Spark) -> str:
+    """The cells of each table as a full grid: rows that are short are padded with empty cells."""
+    grid = d.explode("(select doc_id, char_start, row_ix, max(num_cols) over (partition by doc_id, char_start) as width from (select doc_id, char_start, row_ix,"
+                     " max(col_ix) + 1 as num_cols from table_cells group by doc_id, char_start, row_ix) w) r", "doc_id, char_start, row_ix",
+                     d.sequence("0", "width - 1"), "pos", "col_ix")
+    return f"""
+    select g.doc_id, g.char_start, g.row_ix, cast(g.col_ix as int) as col_ix, coalesce(c.text, '') as text, c.text is null as is_padding
+    from ({grid}) g left join table_cells c on c.doc_id = g.doc_id and c.char_start = g.char_start and c.row_ix = g.row_ix and c.col_ix = g.col_ix"""
+
+
 @relation
 def table_index(d: Spark) -> str:
     return f"""
@@ -660,27 +671,64 @@ def coverage_stats(d: Spark) -> str:
 # ---- correlation ----------------------------------------------------------------------------------------------------
 
 
+@relation
+def letter_vectors(d: Spark) -> str:
+    """How often some letters stand in a block: vectors that need no model."""
+    counts = [f"cast(length(raw) - length(replace(lower(raw), '{c}', '')) as double)" for c in "aeinorst"]
+    return f"select doc_id, block_id, {d.array(*counts)} as vector from nodes where {_INLINE}"
+
+
+@relation
+def block_vectors(d: Spark) -> str:
+    """Vectors that captions are compared by: none, unless the settings or the caller say otherwise."""
+    if d.config.correlation.vectors == "letters":
+        return "select * from letter_vectors"
+    return f"select cast(null as bigint) as doc_id, cast(null as int) as block_id, cast(null as {d.doubles}) as vector where 1 = 0"
+
+
+def _near(d: Spark, ahead: str, behind: str) -> str:
+    """Pairs of elements in which the one behind begins at most ``proximity`` after the one ahead ends; they meet in a cell."""
+    near = d.config.correlation.proximity
+    meet = ""
+    if d.name == "spark":
+        reach = d.sequence(f"greatest(char_start - {near}, 0) div {_CELL}", f"char_start div {_CELL}")
+        behind = f"({d.explode(f'({behind}) e', 'e.*', reach, 'cell_ix', 'cell')})"
+        meet = f"and b.cell = a.char_end div {_CELL}"
+    else:
+        behind = f"({behind})"
+    return f"({ahead}) a join {behind} b on b.doc_id = a.doc_id {meet} and b.char_start - a.char_end between 0 and {near}"
+
+
 @relation
 def table_captions(d: Spark) -> str:
-    score = f"""case when {d.matches("lower(p.raw)", r"table\s*[0-9]*[:.]")} then 0.8 when {d.matches("lower(p.raw)", r"table\s+of\s+")} then 0.7
-                when {d.matches("p.raw", r"جدول\s*[0-9]*[:.]")} then 0.8 when {d.matches("p.raw", r"الجدول\s+")} then 0.7 else 0.0 end"""
-    return f"""
-    select doc_id, table_start, paragraph_start, distance, cast(least(score + 0.3, 1.0) as double) as confidence from (
-      select t.doc_id, t.char_start as table_start, p.char_start as paragraph_start, t.char_start - p.char_end as distance, {score} as score,
-             row_number() over (partition by t.doc_id, t.char_start order by p.char_start) as rank
-      from nodes t join nodes p on p.doc_id = t.doc_id and p.layer_type = 'paragraph' and t.char_start - p.char_end between 0 and {rules.NEAR}
-      where t.layer_type = 'table' and {score} + 0.3 >= 0.7) x
+    """The first paragraph close ahead of a table that looks like its caption."""
+    # What a caption says, and the score for it.
+    score = f"""case when {d.matches("lower(a.raw)", r"table\s*[0-9]*[:.]")} then 0.8 when {d.matches("lower(a.raw)", r"table\s+of\s+")} then 0.7
+                when {d.matches("a.raw", r"جدول\s*[0-9]*[:.]")} then 0.8 when {d.matches("a.raw", r"الجدول\s+")} then 0.7 else 0.0 end"""
+    pairs = _near(d, "select * from nodes where layer_type = 'paragraph'", "select * from nodes where layer_type = 'table'")
+    return f"""
+    select doc_id, table_start, paragraph_start, distance, cast(least(floor(score * 100 + 0.5) / 100, 1.0) as double) as confidence from (
+      select s.*, row_number() over (partition by doc_id, table_start order by paragraph_start) as rank from (
+        select b.doc_id, b.char_start as table_start, a.char_start as paragraph_start, b.char_start - a.char_end as distance,
+               cast({score} + 0.3 as double) + 0.1 * {d.cosine("v.vector", "w.vector")} as score
+        from {pairs} left join block_vectors v on v.doc_id = a.doc_id and v.block_id = a.block_id
+        left join block_vectors w on w.doc_id = b.doc_id and w.block_id = b.block_id) s
+      where score >= {d.config.correlation.caption_threshold}) x
     where rank = 1"""
 
 
 @relation
 def figure_captions(d: Spark) -> str:
-    """Paragraphs close behind a figure, by distance alone."""
+    """The first paragraph close behind a figure that is similar enough to the block the figure stands in."""
+    pairs = _near(d, "select * from figures", "select * from nodes where layer_type = 'paragraph'")
     return f"""
-    select doc_id, figure_start, paragraph_start, distance, cast(0.5 as double) as confidence from (
-      select f.doc_id, f.char_start as figure_start, p.char_start as paragraph_start, p.char_start - f.char_end as distance,
-             row_number() over (partition by f.doc_id, f.char_start order by p.char_start) as rank
-      from figures f join nodes p on p.doc_id = f.doc_id and p.layer_type = 'paragraph' and p.char_start - f.char_end between 0 and {rules.NEAR}) x
+    select doc_id, figure_start, paragraph_start, distance, score as confidence from (
+      select s.*, row_number() over (partition by doc_id, figure_start order by paragraph_start) as rank from (
+        select a.doc_id, a.char_start as figure_start, b.char_start as paragraph_start, b.char_start - a.char_end as distance,
+               least(cast(0.5 as double) + 0.3 * {d.cosine("v.vector", "w.vector")}, 1.0) as score
+        from {pairs} left join block_vectors v on v.doc_id = a.doc_id and v.block_id = a.block_id
+        left join block_vectors w on w.doc_id = b.doc_id and w.block_id = b.block_id) s
+      where score >= {d.config.correlation.figure_threshold}) x
     where rank = 1"""
 
 
@@ -706,19 +754,31 @@ def conflicts(d: Spark) -> str:
            cast(floor({share} * 100.0 + 0.5) / 100.0 as double) as overlap_percent, 'keep_larger' as resolution, n.child_type is not null as is_nesting_allowed
     from {first} a join instances b on b.doc_id = a.doc_id {cell} and a.inst_ix < b.inst_ix and b.char_start < a.char_end and a.layer_type <> b.layer_type
     left join nesting n on n.parent_type = a.layer_type and n.child_type = b.layer_type
-    where {share} > 10"""
+    where {share} > {d.config.correlation.conflict_percent}"""
 
 
 @relation
 def unified_instances(d: Spark) -> str:
+    """Instances with what they are correlated with: a caption's text, or the kind of a diagram."""
     return """
     select i.doc_id, i.inst_ix, concat(i.layer_type, ':', cast(i.char_start as string), '-', cast(i.char_end as string)) as instance_id,
-           case when t.table_start is not null then 'table_caption' when g.char_start is not null then 'diagram' end as correlation,
-           coalesce(t.confidence, g.confidence) as confidence, p.raw as caption
+           case when t.table_start is not null then 'table_caption' when g.char_start is not null then 'diagram'
+                when f.figure_start is not null then 'figure_caption' end as correlation,
+           coalesce(t.confidence, g.confidence, f.confidence) as confidence, p.raw as caption
     from instances i
     left join table_captions t on t.doc_id = i.doc_id and t.table_start = i.char_start and i.layer_type = 'table'
     left join diagram_correlations g on g.doc_id = i.doc_id and g.char_start = i.char_start and i.layer_type in ('code_block', 'diagram')
-    left join nodes p on p.doc_id = i.doc_id and p.layer_type = 'paragraph' and p.char_start = t.paragraph_start"""
+    left join figure_captions f on f.doc_id = i.doc_id and f.figure_start = i.char_start and i.layer_type = 'figure'
+    left join nodes p on p.doc_id = i.doc_id and p.layer_type = 'paragraph' and p.char_start = coalesce(t.paragraph_start, f.paragraph_start)"""
+
+
+@relation
+def correlation_totals(d: Spark) -> str:
+    """How many instances are correlated, each once, and whether every instance is there once."""
+    return """
+    select u.doc_id, cast(count(*) as bigint) as instances, cast(count(distinct u.inst_ix) as bigint) as deduplicated,
+           cast(count(u.correlation) as bigint) as correlated, count(*) = max(n.n) as counts_agree
+    from unified_instances u join (select doc_id, count(*) as n from instances group by doc_id) n on n.doc_id = u.doc_id group by u.doc_id"""
 
 
 # ---- validation -----------------------------------------------------------------------------------------------------
@@ -816,6 +876,66 @@ def validation_v0(d: Spark) -> str:
            not coalesce({d.matches("text", r"^\x{FEFF}")}, false) as has_no_byte_order_mark from documents_md"""
 
 
+#: Steps of an analysis in their order, and the relation whose rows must be there after each.
+STEPS = (
+    ("tokens", "tokens"), ("parse", "nodes"), ("classify", "instances"), ("hierarchy", "nesting_depth"), ("components", "components"),
+    ("token_spans", "component_tokens"), ("topology", "topology"), ("correlation", "unified_instances"),
+)
+
+
+@relation
+def step_gates(d: Spark) -> str:
+    """For each document and step: rows, and whether the step's output may go on.
+
+    A document without text has no rows anywhere and fails its first step; assigned and unassigned tokens must add up.
+    """
+    counts = " union all ".join(f"select doc_id, '{step}' as step, count(*) as n from {source} group by doc_id" for step, source in STEPS)
+    steps = d.values(", ".join(f"({i}, '{step}')" for i, (step, _) in enumerate(STEPS)), "v", "step_ix, step")
+    return f"""
+    select x.doc_id, k.step_ix, k.step, cast(coalesce(c.n, 0) as bigint) as output_rows, coalesce(c.n, 0) > 0 as passed
+    from (select distinct doc_id from documents_md) x cross join ({steps}) k left join ({counts}) c on c.doc_id = x.doc_id and c.step = k.step
+    union all select s.doc_id, {len(STEPS)}, 'coverage', cast(s.assigned + coalesce(u.n, 0) as bigint), s.assigned + coalesce(u.n, 0) = s.total
+    from coverage_stats s left join (select doc_id, count(*) as n from unassigned_tokens group by doc_id) u on u.doc_id = s.doc_id"""
+
+
+@relation
+def first_failures(d: Spark) -> str:
+    """The first step at which a document is stopped."""
+    return "select doc_id, min(step_ix) as step_ix, min_by(step, step_ix) as step from step_gates where not passed group by doc_id"
+
+
+@relation
+def config_tokens(d: Spark) -> str:
+    """The tokens that the settings ask for: without white space they are numbered anew."""
+    if d.config.tokenization.include_whitespace:
+        return "select doc_id, token_ix, text, char_start, char_end, source_line from tokens"
+    return "select doc_id, token_ix, text, char_start, char_end, source_line from semantic_tokens"
+
+
+@relation
+def config_coverage(d: Spark) -> str:
+    """Whether the tokens of the settings cover a text: all of it, or all but white space."""
+    return """
+    select x.doc_id, cast(length(x.text) as bigint) as n_chars, coalesce(t.n, 0) as n_tokens, coalesce(g.n, 0) as bad_gaps, coalesce(g.n, 0) = 0 as is_config_full_coverage
+    from documents_md x left join (select doc_id, cast(count(*) as bigint) as n from config_tokens group by doc_id) t on t.doc_id = x.doc_id
+    left join (select doc_id, cast(count(case when not is_whitespace then 1 end) as bigint) as n from token_gaps group by doc_id) g on g.doc_id = x.doc_id"""
+
+
+@relation
+def nesting_failures(d: Spark) -> str:
+    """Per container the first child that breaks a rule, and which: a leaf has no children, the pair is forbidden, too deep."""
+    return """
+    select doc_id, parent_ix, min(child_ix) as child_ix, min_by(reason, child_ix) as reason from (
+      select p.doc_id, p.parent_ix, p.inst_ix as child_ix,
+             case when r.layer_type is null or r.is_leaf then 'leaf' when n.child_type is null then 'forbidden'
+                  when r.max_depth > 0 and g.depth > r.max_depth then 'depth' end as reason
+      from parents p join instances c on c.doc_id = p.doc_id and c.inst_ix = p.parent_ix join instances k on k.doc_id = p.doc_id and k.inst_ix = p.inst_ix
+      join nesting_depth g on g.doc_id = p.doc_id and g.inst_ix = p.inst_ix
+      left join nesting_rules r on r.layer_type = c.layer_type
+      left join nesting n on n.parent_type = c.layer_type and n.child_type = k.layer_type) x
+    where reason is not null group by doc_id, parent_ix"""
+
+
 @relation
 def v13_keys(d: Spark) -> str:
     """Semantic tokens without a place in the token table, either way round."""
@@ -849,7 +969,7 @@ def hierarchy_flat(d: Spark) -> str:
 @relation
 def tree_totals(d: Spark) -> str:
     return f"""select doc_id, cast(count(*) as bigint) as total_nodes, max(depth) as max_depth, cast(count(case when depth = 0 then 1 end) as bigint) as roots,
-    max(depth) <= {rules.LEVELS} as within_limit from nesting_depth group by doc_id"""
+    max(depth) <= {d.config.topology.nesting_depth_limit} as within_limit from nesting_depth group by doc_id"""
 
 
 @relation
@@ -889,12 +1009,47 @@ def topics(d: Spark) -> str:
 def semantic_units(d: Spark) -> str:
     """Words and discourse markers of paragraphs, and which are long enough to be split at a marker."""
     return f"""
-    select doc_id, block_id, n_words, n_markers, n_words > 150 and n_markers > 0 as may_split
+    select doc_id, block_id, n_words, n_markers, n_words > {d.config.semantic.segmentation_threshold_words} and n_markers > 0 as may_split
     from (select doc_id, block_id, cast(coalesce({d.size}({d.all_matches("raw", r"[^\s]+")}), 0) as int) as n_words,
           cast(coalesce({d.size}({d.all_matches("lower(raw)", r"(?:however|therefore|moreover|finally|in contrast)")}), 0) as int) as n_markers
           from nodes where layer_type = 'paragraph') x"""
 
 
+#: Stands where a paragraph is cut.
+_CUT = "\x1e"
+
+
+@relation
+def semantic_segments(d: Spark) -> str:
+    """Paragraphs as semantic units: long ones are cut in front of each discourse marker."""
+    cut = d.replace("p.raw", r"\b(However|Therefore|Moreover|Finally|In contrast|however|therefore|moreover|finally|in contrast)\b", f"{_CUT}{d.group_1}")
+    source = f"""(select p.doc_id, p.block_id, case when u.may_split then {cut} else p.raw end as parts
+        from nodes p join semantic_units u on u.doc_id = p.doc_id and u.block_id = p.block_id where p.layer_type = 'paragraph') s"""
+    segments = d.explode(source, "doc_id, block_id", d.split("parts", f"'{_CUT}'"), "segment_ix", "segment")
+    return f"select doc_id, block_id, cast(segment_ix as int) as segment_ix, segment as text from ({segments}) x where {d.matches('segment', '[^ ]')}"
+
+
+@relation
+def keywords(d: Spark) -> str:
+    """The most frequent long word of each document, which stands for its topic where there is no heading; ties by the alphabet."""
+    return """
+    select doc_id, word, n from (
+      select doc_id, word, n, row_number() over (partition by doc_id order by n desc, word) as rank
+      from (select doc_id, lower(text) as word, cast(count(*) as bigint) as n from tokens where token_type = 'semantic' and length(text) >= 5
+            group by doc_id, lower(text)) x) y
+    where rank = 1"""
+
+
+@relation
+def topic_labels(d: Spark) -> str:
+    """The topic of each block: the text of the heading it stands under, or else the document's keyword."""
+    return """
+    select t.doc_id, t.block_id, coalesce(h.text, k.word) as label, h.text is not null as from_heading
+    from topics t left join nodes n on n.doc_id = t.doc_id and n.block_id = t.heading_block
+    left join headings h on h.doc_id = n.doc_id and h.char_start = n.char_start
+    left join keywords k on k.doc_id = t.doc_id"""
+
+
 # ---- composition ----------------------------------------------------------------------------------------------------
 
 
@@ -904,12 +1059,12 @@ def _needs(name: str, dialect: Spark = SPARK) -> tuple[str, ...]:
     return tuple(r for r in RELATIONS if r != name and re.search(rf"(?:from|join)\s+{r}\b", text))
 
 
-def closure(name: str) -> list[str]:
+def closure(name: str, dialect: Spark = SPARK) -> list[str]:
     """The relation and all it needs, in an order in which each comes after its needs."""
     out: list[str] = []
 
     def visit(n: str) -> None:
-        for need in _needs(n):
+        for need in _needs(n, dialect):
             visit(need)
         if n not in out:
             out.append(n)
@@ -919,12 +1074,12 @@ def closure(name: str) -> list[str]:
 
 
 @cache
-def uses(name: str, of: str) -> int:
+def uses(name: str, of: str, dialect: Spark = SPARK) -> int:
     """How often ``of`` is read when Spark's plan of ``name`` is written out without sharing."""
     if name == of:
         return 1
-    text = RELATIONS[name](SPARK)
-    return sum(len(re.findall(rf"(?:from|join)\s+{n}\b", text)) * uses(n, of) for n in _needs(name))
+    text = RELATIONS[name](dialect)
+    return sum(len(re.findall(rf"(?:from|join)\s+{n}\b", text)) * uses(n, of, dialect) for n in _needs(name, dialect))
 
 
 def compile_sql(name: str, dialect: Spark, documents: str | None = None, given: dict[str, str] | None = None) -> str:

@@ -46,8 +46,8 @@ INLINE_SKIP = (
 ).split()
 VOID_TAGS = "br hr img input meta link".split()
 
-#: How far apart a caption and its table may stand, and how many levels of nesting are followed.
-NEAR, LEVELS = 50, 10
+
+
 
 
 def nesting_pairs() -> list[tuple[str, str]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,11 @@ def load_documents(spark: SparkSession, path: str) -> DataFrame:
     return read.select(F.xxhash64("source_path").alias("doc_id"), "source_path", text.alias("text"))
 
 
+def text_length(text: Column) -> Column:
+    """The length of a text in code points; of a null text 0."""
+    return F.coalesce(F.length(text), F.lit(0))
+
+
 def load_table(table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A table with a text column as ``doc_id, text``; null texts are empty."""
     return table.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

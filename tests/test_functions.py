@@ -1,8 +1,11 @@
 """Positions, builders, edits, loaders and streams."""
 
+import pandas as pd
 import pytest
-from leafgraph.functions import components, edits, positions
+from leafgraph.config import TopologyConfig, load_config
+from leafgraph.functions import components, edits, models, positions
 from leafgraph.sources import load_documents, validate_documents
+from leafgraph.sources.files import text_length
 from leafgraph.streaming import stream_documents, token_counts, write_relations
 from pyspark.sql import functions as F
 
@@ -112,3 +115,85 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "nodes")).count() == 2
     counted = token_counts(spark.read.parquet(str(tmp_path / "in")))
     assert sorted(tuple(r) for r in counted.collect()) == [(1, 7, 4), (2, 0, 0)]
+
+
+def test_derived_fields(spark):
+    def made(layer_type, raw, **fields):
+        return value(spark, components.create(layer_type, F.lit(raw), identifier=F.lit("x1"), **fields))
+
+    h = made("heading", "### Deep")
+    assert (h.component_id, h.level, h.text, h.heading_style, h.char_end) == ("heading:x1", 3, "Deep", "atx", 8)
+    h = made("heading", "Big\n===", heading_style=F.lit("setext"))
+    assert (h.level, h.text) == (1, "Big") and made("heading", "###").text == "###" and made("heading", "plain").level == 1
+    assert (made("footnote", "[^n1]: x").footnote_id, made("footnote", "x").footnote_id, made("footnote", "x", label=F.lit("L")).label) == ("n1", "x1", "L")
+    f = made("figure", "![Alt](img.png)")
+    assert (f.image_url, f.alt_text) == ("img.png", "Alt") and made("figure", "text").image_url == "x1" and made("figure", "y" * 100).alt_text == "y" * 80
+    kinds = [made("diagram", raw).diagram_type for raw in ("Graph TD", "sequenceDiagram", "digraph {", "graph { a }", "+-+", "words")]
+    assert kinds == ["mermaid", "mermaid", "graphviz", "graphviz", "ascii", "unknown"]
+    assert made("inline_code", "``a`b``").content == "a`b" and made("footnote_ref", "see [^q]").ref_id == "q" and made("footnote_ref", "z").ref_id == "x1"
+    assert (made("emphasis", "**b**").emphasis_type, made("emphasis", "**b**").marker) == ("bold", "**")
+    link = made("link", "[a](https://b.org/c)", url=F.lit("https://b.org:8/c"))
+    assert (link.link_type, link.is_external, link.domain) == ("inline", True, "b.org")
+    rule = made("horizontal_rule", " * * *")
+    assert (rule.style, rule.length) == ("star", 3) and made("horizontal_rule", "").style == "dash"
+    assert [made("indented_code_block", raw).line_count for raw in ("    a\n    b\n", "    a", "")] == [2, 1, 0]
+    assert (made("blockquote", "> q").quote_level, made("blockquote", "> q").style) == (1, "blockquote")
+    assert (made("metadata", "---").format, made("metadata", "---").keys) == ("yaml", [])
+    assert made("html_block", "<div>").attributes == {} and made("html_inline", "<b>").is_self_closing is False and made("html_block", "x").is_semantic is False
+    assert made("list", "- a").style == made("task_list", "- [ ] a").style == "unordered" and made("code_block", "x").has_lines is False
+    assert (made("table", "| a |").num_cols, made("table", "| a |").has_header) == (0, False) and made("paragraph", "p").char_end == 1
+
+
+def test_registry():
+    assert components.has("table")
+    components.clear()
+    try:
+        assert not components.has("table") and components.registered() == []
+        with pytest.raises(KeyError):
+            components.builder("table")
+    finally:
+        components.register_defaults()
+    assert len(components.registered()) == 19
+
+
+def test_setters(spark):
+    heading = components.create("heading", F.lit("# T"))
+    assert value(spark, edits.set_level(heading, 4)).level == 4 and value(spark, edits.set_level(heading, 9)).level == 1
+    assert value(spark, edits.set_language(components.create("code_block", F.lit("x")), "py")).language == "py"
+    rule = components.create("horizontal_rule", F.lit("---"))
+    assert value(spark, edits.set_style(rule, "horizontal_rule", "STAR")).style == "star" and value(spark, edits.set_style(rule, "horizontal_rule", "wavy")).style == "dash"
+    assert value(spark, edits.set_style(components.create("list", F.lit("- a")), "list", "ordered")).style == "ordered"
+    link = components.create("link", F.lit("[a](b)"))
+    assert value(spark, edits.set_parent(link, F.lit("paragraph:1"), F.lit("paragraph"))).parent_id == "paragraph:1"
+    assert value(spark, edits.set_parent(link, F.lit("code_block:1"), F.lit("code_block"))).parent_id is None
+    assert value(spark, edits.get_children(link)) == [] and value(spark, components.is_image_link(components.create("link", F.lit("x"), link_type=F.lit("image"))))
+    span = edits.token_span(F.lit(1), F.lit(2))
+    assert tuple(value(spark, positions.token_range(span))) == (1, 2)
+    with pytest.raises(Exception, match="no token span"):
+        value(spark, positions.token_range(edits.token_span(F.lit(3), F.lit(2))))
+
+
+def test_columns_of_a_model(spark):
+    tokens = spark.createDataFrame([(1, "Cats"), (2, "ran")], "token_ix int, text string")
+    assert [tuple(r) for r in models.with_model_columns(tokens).collect()] == [(1, "Cats", None, None, None), (2, "ran", None, None, None)]
+    known = models.with_model_columns(tokens, lambda texts: pd.DataFrame({"lemma": texts.str.lower(), "pos": "X"}))
+    assert [(r.lemma, r.pos, r.ner_label) for r in known.collect()] == [("cats", "X", None), ("ran", "X", None)]
+    assert [r.lemma for r in models.with_model_columns(tokens, lambda texts: 1 / 0).collect()] == [None, None]
+
+
+def test_settings(tmp_path):
+    assert load_config(str(_written(tmp_path / "a.json", '{"topology": {"nesting_depth_limit": 3, "layer_types_to_detect": ["table"]}}'))).topology == TopologyConfig(("table",), 3)
+    got = load_config(str(_written(tmp_path / "a.toml", '[correlation]\nproximity = 20\n[tokenization]\ninclude_whitespace = true\n')))
+    assert got.correlation.proximity == 20 and got.tokenization.include_whitespace and got.as_dict()["semantic"]["segmentation_threshold_words"] == 150
+    for bad in ('{"topology": {"nesting_depth_limit": 0}}', '{"colour": 1}', '{"semantic": {"segmentation_threshold_words": 10}}', '{"correlation": {"vectors": "x"}}'):
+        with pytest.raises(ValueError):
+            load_config(str(_written(tmp_path / "b.json", bad)))
+
+
+def _written(path, text):
+    path.write_text(text)
+    return path
+
+
+def test_length_of_a_text(spark):
+    assert [value(spark, text_length(F.lit(x).cast("string"))) for x in ("é\U0001f642", "", None)] == [2, 0, 0]

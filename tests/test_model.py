@@ -8,10 +8,12 @@ import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from leafgraph.operators import analyse, classify, relation
+from leafgraph.config import Config, CorrelationConfig, TokenizationConfig, TopologyConfig
+from leafgraph.operators import StepError, analyse, check_schema, classify, nesting_tables, node_by_id, relation
 from leafgraph.operators.parser import tree_rows
 from leafgraph.plans.dialect import DUCKDB
 from leafgraph.plans.relations import RELATIONS
+from leafgraph.sources import corpus_tree_sql, markdown_corpus_sql
 from leafgraph.plans.rules import NESTING, nesting_depths, nesting_pairs
 
 
@@ -360,3 +362,90 @@ def test_gates(spark):
 def test_empty_table(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     assert relation("components", nothing).count() == 0 and relation("validation_report", nothing).count() == 0
+
+
+def test_settings_reach_the_relations(spark):
+    docs = documents(spark, "Table 1: x\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n> > > deep\n\n![rose](d)\n\nclose words\n\nA **b** c")
+    assert relation("table_captions", docs).count() == 1
+    none = Config(correlation=CorrelationConfig(proximity=1, conflict_percent=100.0), topology=TopologyConfig(("table",), 2))
+    assert relation("table_captions", docs, config=none).count() == 0 and relation("conflicts", docs, config=none).count() == 0
+    assert relation("tree_totals", docs, config=none).first().within_limit is False and relation("tree_totals", docs).first().within_limit
+    assert {r.layer_type for r in classify(docs, config=none).collect()} == {"table"}
+    # without vectors a caption of a figure is not sure enough
+    assert relation("figure_captions", docs).count() == 0
+    vectors = spark.createDataFrame([(0, r.block_id, [1.0, 0.0]) for r in relation("nodes", docs).collect()], "doc_id long, block_id int, vector array<double>")
+    got = relation("figure_captions", docs, given={"block_vectors": vectors}).collect()
+    assert [(r.distance, r.confidence) for r in got] == [(2, 0.8)]
+    assert relation("table_captions", docs, given={"block_vectors": vectors}).first().confidence == 1.0
+    assert relation("figure_captions", docs, config=Config(correlation=CorrelationConfig(vectors="letters"))).count() == 1
+    with_spaces = Config(tokenization=TokenizationConfig(include_whitespace=True))
+    assert relation("config_tokens", docs, config=with_spaces).count() == relation("tokens", docs).count() > relation("config_tokens", docs).count()
+    assert relation("config_coverage", docs).first().is_config_full_coverage
+
+
+def test_units_and_rules_of_ones_own(spark):
+    docs = documents(spark, "A TODO here.\n\n`code`")
+    todo = lambda found: found.unionByName(
+        spark.createDataFrame([(0, 99, "emphasis", 2, 6, "TODO")], found.schema)
+    )
+    got = relation("layer_counts", docs, units={"instances": todo}).collect()
+    assert {r.layer_type: r.n for r in got} == {"paragraph": 2, "inline_code": 1, "emphasis": 1}
+    other_parser = lambda d: spark.createDataFrame([], relation("node_tree", d).schema)
+    assert relation("instances", docs, units={"node_tree": other_parser}).count() == 0
+    strict = nesting_tables(spark, {"paragraph": (["emphasis"], 1)}, leaves=["emphasis"])
+    assert relation("parents", docs).count() == 1 and relation("parents", docs, given=strict).count() == 0
+    with pytest.raises(KeyError):
+        relation("parents", docs, given={"nonsense": docs})
+
+
+def test_steps_and_their_gates(spark):
+    docs = documents(spark, CONTRACT, " \n", "[x]: y")
+    stopped = {r.doc_id: r.step for r in relation("first_failures", docs).collect()}
+    assert stopped == {1: "parse", 2: "parse"}
+    gates = relation("step_gates", docs.where("doc_id = 0")).collect()
+    assert all(r.passed for r in gates) and max(gates, key=lambda r: r.step_ix).step == "coverage" and len(gates) == 9
+    with pytest.raises(StepError, match="parse"):
+        analyse(docs.where("doc_id <> 1"), strict=True)
+    with pytest.raises(StepError, match="V1.0"):
+        analyse(docs.selectExpr("cast(doc_id as string) as doc_id", "text"), strict=True)
+    assert check_schema(docs) is None and check_schema(docs.drop("text")) == "column text is missing"
+    checks = {(r.doc_id, r.check_id): r.passed for r in relation("validation_v2", docs).collect()}
+    assert all(checks.values()) and (2, "V2.empty") in checks
+
+
+def test_first_broken_rules(spark):
+    text = "- a\n\n  <div>\n\n| `x` | b |\n|---|---|\n| 1 | 2 |"
+    docs = documents(spark, text)
+    assert relation("nesting_failures", docs).count() == 0
+    loose = nesting_tables(spark, {"list": (["paragraph"], 0), "table": (["inline_code"], 1)}, ["paragraph"])
+    narrow = loose | {"parents": spark.createDataFrame([(0, 0, 1), (0, 2, 0)], "doc_id long, parent_ix int, inst_ix int").select("doc_id", "inst_ix", "parent_ix")}
+    got = relation("nesting_failures", docs, given=narrow)
+    assert {r.reason for r in got.collect()} <= {"leaf", "forbidden", "depth"} and got.count() >= 1
+
+
+def test_node_by_id(spark):
+    docs = documents(spark, CONTRACT)
+    one = relation("components", docs).where("layer_type = 'heading'").first()
+    assert node_by_id(docs, one.component_id).collect() == [one] and node_by_id(docs, "heading:9-9_9").count() == 0
+
+
+def test_topics_segments_and_grids(spark):
+    long = " ".join(["word"] * 100) + ". However, " + " ".join(["other"] * 80)
+    docs = documents(spark, f"{long}\n\nshort However it is", "# Head\n\ntext\n\n| a | b |\n|---|---|\n| 1 |")
+    parts = [(r.block_id, r.segment_ix, r.text) for r in relation("semantic_segments", docs.where("doc_id = 0")).collect()]
+    assert sorted(parts) == [(0, 0, long[: long.index("However")]), (0, 1, long[long.index("However") :]), (1, 0, "short However it is")]
+    labels = {(r.doc_id, r.label, r.from_heading) for r in relation("topic_labels", docs).collect()}
+    assert labels == {(0, "other", False), (1, "Head", True)}
+    assert rows(relation("table_grid", docs), "row_ix", "col_ix", "text", "is_padding") == [
+        (0, 0, "a", False), (0, 1, "b", False), (1, 0, "1", False), (1, 1, "", True),
+    ]
+
+
+def test_the_corpus_is_parsed_as_it_is_made():
+    """The blocks of the Markdown corpus are known from its parts; the parser finds just those."""
+    duck = duckdb.connect()
+    for name in ("customer", "orders", "nation"):
+        duck.execute(f"create view {name} as select * from '/root/testdata/sf0.001/{name}.parquet'")
+    texts = duck.execute(markdown_corpus_sql(DUCKDB)).fetchall()
+    want = sorted(duck.execute(corpus_tree_sql(DUCKDB)).fetchall(), key=lambda r: r[:2])
+    assert sorted((r for doc, text in texts for r in tree_rows(doc, text)), key=lambda r: r[:2]) == want and len(want) > 5000
