@@ -212,5 +212,7 @@ def _raw_of(block: Block) -> str:
 
 
 def markdown_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus, dealt by document: its texts are far larger than the rows they are made of, and what reads them goes by document."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "orders", "nation")}
-    return spark.sql(markdown_corpus_sql(SPARK, "{customer}", "{orders}", "{nation}"), **tables)
+    made = spark.sql(markdown_corpus_sql(SPARK, "{customer}", "{orders}", "{nation}"), **tables)
+    return made.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), "doc_id")
