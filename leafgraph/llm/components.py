@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafgraph.llm.store import stage
+from leafgraph.llm.store import stage, unstage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -25,7 +25,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = stage(large.distinct(), "large-star")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = stage(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        after = stage(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        unstage(current)  # written anew, so nothing reads the round before any more
+        unstage(large)
+        current = after
         now = current.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if before == (now["n"], now["x"]):
             break
