@@ -382,15 +382,21 @@ def nesting_depth(d: Spark) -> str:
     The walk ends one step behind the limit of the settings, so that a deeper tree is told from one of just that depth.
     """
     steps = d.config.topology.nesting_depth_limit + 1
-    if d.name == "spark":  # a document's parents as one map, walked inside the row
+    if d.name == "spark":
+        # a row for each document: parents by place in an array, with gaps where numbers are missing, walked for each instance
+        step = """case when element_at(up, s.at + 1) is null then s
+                  else named_struct('at', element_at(up, s.at + 1), 'depth', s.depth + 1, 'in_cycle', s.in_cycle or element_at(up, s.at + 1) = n.inst_ix) end"""
+        walk = f"aggregate(sequence(1, {steps}), named_struct('at', n.inst_ix, 'depth', 0, 'in_cycle', false), (s, k) -> {step})"
         return f"""
-        select doc_id, inst_ix, layer_type, walk.depth as depth, walk.in_cycle as in_cycle from (
-          select i.doc_id, i.inst_ix, i.layer_type, aggregate(sequence(1, {steps}),
-                 named_struct('at', i.inst_ix, 'depth', 0, 'in_cycle', false),
-                 (s, k) -> case when u.up[s.at] is null then s
-                           else named_struct('at', u.up[s.at], 'depth', s.depth + 1, 'in_cycle', s.in_cycle or u.up[s.at] = i.inst_ix) end) as walk
-          from instances i left join (select doc_id, map_from_entries(collect_list(struct(inst_ix, parent_ix))) as up from parents group by doc_id) u
-               on u.doc_id = i.doc_id) x"""
+        select doc_id, w.inst_ix, w.layer_type, w.walk.depth as depth, w.walk.in_cycle as in_cycle from (
+          select doc_id, transform(found, n -> named_struct('inst_ix', n.inst_ix, 'layer_type', n.layer_type, 'walk', {walk})) as walks from (
+            select doc_id, array_sort(collect_list(struct(inst_ix, layer_type))) as found,
+                   flatten(transform(array_sort(collect_list(struct(inst_ix, places))), x -> x.places)) as up
+            from (select i.doc_id, i.inst_ix, i.layer_type, case when i.inst_ix = i.previous_ix then slice(array(p.parent_ix), 1, 0)
+                         else concat(array_repeat(cast(null as int), i.inst_ix - i.previous_ix - 1), array(p.parent_ix)) end as places
+                  from (select j.*, lag(inst_ix, 1, -1) over (partition by doc_id order by inst_ix) as previous_ix from instances j) i
+                  left join parents p on p.doc_id = i.doc_id and p.inst_ix = i.inst_ix) v
+            group by doc_id) u) t lateral view explode(walks) e as w"""
     joins = "\n".join(
         f"left join parents p{k} on p{k}.doc_id = i.doc_id and p{k}.inst_ix = p{k - 1}.parent_ix" for k in range(2, steps + 1)
     )
@@ -975,6 +981,18 @@ def tree_totals(d: Spark) -> str:
 @relation
 def component_tokens_forward(d: Spark) -> str:
     """Tokens that begin inside a component: the overlap without the token that reaches into it."""
+    if d.name == "spark":  # a sorted sweep: from the token behind the last that begins before it, to the last that begins in it
+        return """
+        select doc_id, component_id, token_min, token_max from (
+          select doc_id, component_id, coalesce(max(case when side = 0 then token_ix end), -1) + 1 as token_min, max(case when side = 1 then token_ix end) as token_max
+          from (
+            select doc_id, component_id, side, last_value(token_ix) ignore nulls over (partition by doc_id order by place, component_id nulls first
+                                                                                      rows between unbounded preceding and current row) as token_ix
+            from (select doc_id, cast(null as string) as component_id, cast(null as int) as side, token_ix, char_start as place from tokens
+                  union all select doc_id, component_id, 0, null, char_start - 1 from components
+                  union all select doc_id, component_id, 1, null, char_end - 1 from components) e) s
+          where component_id is not null group by doc_id, component_id) x
+        where token_max >= token_min"""
     return """
     select c.doc_id, c.component_id, min(t.token_ix) as token_min, max(t.token_ix) as token_max
     from components c join tokens t on t.doc_id = c.doc_id and t.char_start >= c.char_start and t.char_start < c.char_end

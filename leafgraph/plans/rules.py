@@ -47,9 +47,6 @@ INLINE_SKIP = (
 VOID_TAGS = "br hr img input meta link".split()
 
 
-
-
-
 def nesting_pairs() -> list[tuple[str, str]]:
     return [(parent, child) for parent, (children, _) in NESTING.items() for child in children]
 
