@@ -71,6 +71,19 @@ def token_coverage(d: Spark) -> str:
 @relation
 def token_gaps(d: Spark) -> str:
     """Stretches between semantic tokens: leading, inner and trailing."""
+    if d.name == "spark":  # from the tokens in a stretch, as a slice for each would carry the whole text to each
+        blank = d.matches("text", f"^[{rules.SPACES}]+$")
+        return f"""
+        select doc_id, gap_start, gap_end, blank = gap_end - gap_start as is_whitespace from (
+          select doc_id, lag(token_end, 1, 0) over (partition by doc_id order by stretch) as gap_start, gap_end, blank from (
+            select doc_id, stretch, max(case when closes then char_start end) as gap_end, max(case when closes then char_end end) as token_end,
+                   sum(case when not closes and {blank} then char_end - char_start else 0 end) as blank
+            from (select e.*, coalesce(sum(case when closes then 1 else 0 end) over (partition by doc_id order by token_ix
+                                       rows between unbounded preceding and 1 preceding), 0) as stretch
+                  from (select doc_id, token_ix, text, char_start, char_end, token_type = 'semantic' as closes from tokens
+                        union all select doc_id, 2147483647, null, length(text), length(text), true from documents_md) e) s
+            group by doc_id, stretch) g) h
+        where gap_end > gap_start"""
     return f"""
     select g.doc_id, g.gap_start, g.gap_end, {d.matches("substring(x.text, g.gap_start + 1, g.gap_end - g.gap_start)", f"^[{rules.SPACES}]+$")}
            as is_whitespace
@@ -803,22 +816,27 @@ def _checks(d: Spark, checks: list[tuple[str, str, str]], counts: str) -> str:
 @relation
 def token_failures(d: Spark) -> str:
     """What the token checks count, in one pass over the tokens of a document."""
-    return """
-    select doc_id, sum(case when token_ix <> n then 1 else 0 end) as not_sequential, sum(case when length(text) = 0 then 1 else 0 end) as is_empty,
+    return f"""
+    select doc_id, sum(case when token_ix <> n then 1 else 0 end) as not_sequential,
+           sum(case when length(text) = 0 or token_type = 'semantic' and {d.matches("text", f"^[{rules.SPACES}]+$")} then 1 else 0 end) as is_empty,
            sum(case when char_start is null or char_end is null or source_line is null then 1 else 0 end) as incomplete,
-           sum(case when char_end > next then 1 else 0 end) as overlapping
+           sum(case when char_end > next then 1 else 0 end) as overlapping, sum(case when char_end < next then 1 else 0 end) as apart
     from (select t.*, row_number() over w - 1 as n, lead(char_start) over w as next from tokens t window w as (partition by doc_id order by token_ix)) s
     group by doc_id"""
 
 
 @relation
 def validation_v1(d: Spark) -> str:
+    """Where the settings leave white space out, gaps of white space alone are a warning; where they keep it, any gap is critical."""
+    keeps = d.config.tokenization.include_whitespace
     checks = [
         ("V1.1", "critical", "t.not_sequential"), ("V1.2", "critical", "t.is_empty"), ("V1.3", "critical", "t.incomplete"),
-        ("V1.4", "critical", "t.overlapping"), ("V1.5", "critical", "g.n"),
+        ("V1.4", "critical", "t.overlapping"), ("V1.5", "critical", "coalesce(g.n, 0) + t.apart" if keeps else "g.n"),
+        ("V1.5.space", "warning", "0" if keeps else "g.blank"),
     ]
     counts = """left join token_failures t on t.doc_id = x.doc_id
-        left join (select doc_id, count(*) as n from token_gaps where not is_whitespace group by doc_id) g on g.doc_id = x.doc_id"""
+        left join (select doc_id, sum(case when is_whitespace then 0 else 1 end) as n, sum(case when is_whitespace then 1 else 0 end) as blank
+                   from token_gaps group by doc_id) g on g.doc_id = x.doc_id"""
     return _checks(d, checks, counts)
 
 

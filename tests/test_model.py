@@ -311,8 +311,50 @@ def test_conflicts_know_nesting(spark):
 
 
 def test_validation_passes(spark):
-    got = relation("validation_report", documents(spark, CONTRACT, COMPLEX)).collect()
-    assert all(r.all_passed for r in got) and len(got) == 2
+    docs = documents(spark, CONTRACT, COMPLEX, "word", "")
+    got = relation("validation_report", docs).collect()
+    assert all(r.critical_passed for r in got) and len(got) == 4
+    assert {r.doc_id for r in got if r.all_passed} == {2, 3}
+    # all that fails is the warning about white space between the tokens
+    gaps = relation("validation_v1", docs).where("not passed")
+    assert rows(gaps.where("doc_id = 0"), "check_id", "severity", "failures") == [("V1.5.space", "warning", 10)]
+    kept = Config(tokenization=TokenizationConfig(include_whitespace=True))
+    assert all(r.all_passed for r in relation("validation_report", docs, config=kept).collect())
+
+
+def test_gaps_of_tokens_that_do_not_cover(spark):
+    """Tokens of a unit of one's own may leave letters out: gaps that hold some are critical."""
+    docs = documents(spark, " a bc\n\nd ", "", "xy")
+    without = {"tokens": lambda found: found.where("text not in ('bc', 'xy')")}
+    assert rows(relation("token_gaps", docs, units=without), "doc_id", "gap_start", "gap_end", "is_whitespace") == [
+        (0, 0, 1, True), (0, 2, 7, False), (0, 8, 9, True), (2, 0, 2, False),
+    ]
+    assert rows(relation("token_gaps", docs), "doc_id", "gap_start", "gap_end", "is_whitespace") == [
+        (0, 0, 1, True), (0, 2, 3, True), (0, 5, 7, True), (0, 8, 9, True),
+    ]
+    failed = rows(relation("validation_v1", docs, units=without).where("not passed and severity = 'critical'"), "doc_id", "check_id", "failures")
+    assert failed == [(0, "V1.1", 3), (0, "V1.5", 1), (2, "V1.5", 1)]
+
+
+def test_depths_where_numbers_are_missing(spark):
+    docs = documents(spark, "")
+    found = spark.createDataFrame([(0, i, "list", i, 90 - i, "x") for i in (0, 3, 4, 9)], relation("instances", docs).schema)
+    above = spark.createDataFrame([(0, 3, 0), (0, 4, 3), (0, 9, 4)], "doc_id long, inst_ix int, parent_ix int")
+    given_tables = {"instances": found, "parents": above}
+    got = rows(relation("nesting_depth", docs, given=given_tables), "inst_ix", "depth", "in_cycle")
+    assert got == [(0, 0, False), (3, 1, False), (4, 2, False), (9, 3, False)]
+    ring = above.union(spark.createDataFrame([(0, 0, 9)], above.schema))
+    got = rows(relation("nesting_depth", docs, given=given_tables | {"parents": ring}), "inst_ix", "in_cycle")
+    assert got == [(0, True), (3, True), (4, True), (9, True)]
+
+
+def test_forward_spans(spark):
+    """Tokens that begin in a component; one that a component begins inside of is left out, and a component may hold none."""
+    docs = documents(spark, "ab cd ef")
+    kinds = [(0, 0, "paragraph:0-8_0", 0, 8), (0, 1, "link:1-4_1", 1, 4), (0, 2, "link:4-5_2", 4, 5), (0, 3, "link:3-3_3", 3, 3)]
+    held = spark.createDataFrame(kinds, "doc_id long, inst_ix int, component_id string, char_start int, char_end int")
+    got = rows(relation("component_tokens_forward", docs, given={"components": held}), "component_id", "token_min", "token_max")
+    assert got == [("link:1-4_1", 1, 2), ("paragraph:0-8_0", 0, 4)]
 
 
 def test_overlapping_spans_fail(spark):
