@@ -322,6 +322,28 @@ def test_validation_passes(spark):
     assert all(r.all_passed for r in relation("validation_report", docs, config=kept).collect())
 
 
+def test_typed_relations_of_small_documents(spark):
+    docs = documents(
+        spark,
+        "***\n\n_ _ _\n\n---\n\n```py\nx = 1\n\n  y\n```\n\n1. one\n2. two\n\n[a]: http://a.b/c\n\n[see][A] and ![cap](img.png)\n",
+        "# A\n\n## B\n\n### C\n\n## D\n\n# E\n",
+        "---\ntitle: My doc\nx-y:  2 \n---\n\n```mermaid\ngraph TD\n```\n",
+    )
+    assert rows(relation("horizontal_rules", docs), "char_start", "style", "length") == [(0, "star", 3), (5, "underscore", 3), (12, "dash", 3)]
+    code = relation("code_index", docs).where("doc_id = 0")
+    assert rows(code, "language", "n_lines", "non_empty", "max_indent", "has_line_numbers") == [("py", 3, 2, 2, False)]
+    assert rows(relation("list_index", docs), "doc_id", "is_ordered", "total_items", "max_depth") == [(0, True, 2, 1)]
+    assert rows(relation("link_definitions", docs), "doc_id", "ref_id", "url") == [(0, "a", "http://a.b/c")]
+    link = relation("links", docs)
+    assert rows(link, "text", "link_type", "ref_id", "url", "is_external", "domain") == [("see", "reference", "a", "http://a.b/c", True, "a.b")]
+    assert rows(relation("figures", docs), "caption", "src") == [("cap", "img.png")]
+    assert rows(relation("heading_groups", docs), "heading_ix", "level", "root_ix", "sub_root_ix") == [
+        (0, 1, 0, None), (1, 2, 0, None), (2, 3, 0, 1), (3, 2, 0, None), (4, 1, 4, None),
+    ]
+    assert rows(relation("metadata_keys", docs), "line_ix", "key", "value") == [(1, "title", "My doc"), (2, "x-y", "2")]
+    assert rows(relation("diagram_correlations", docs), "doc_id", "diagram_type", "confidence") == [(2, "mermaid", 0.8)]
+
+
 def test_gaps_of_tokens_that_do_not_cover(spark):
     """Tokens of a unit of one's own may leave letters out: gaps that hold some are critical."""
     docs = documents(spark, " a bc\n\nd ", "", "xy")
