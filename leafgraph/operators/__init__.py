@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafgraph.config import Config
+from leafgraph.operators import sweeps
 from leafgraph.operators.parser import parse_documents
 from leafgraph.plans.dialect import SPARK, Spark
 from leafgraph.plans.relations import RELATIONS, closure, compile_sql, uses
@@ -20,7 +21,10 @@ from leafgraph.session import materialised
 
 
 #: Relations that a plan which reads them several times writes out once.
-SHARED = ("nodes", "tokens", "marks", "emphasis", "instances", "parents", "components", "component_tokens", "nesting_depth", "coverage_stats")
+SHARED = ("nodes", "tokens", "marks", "emphasis", "instances", "parents", "components", "component_tokens", "nesting_depth", "coverage_stats", "token_cover")
+
+#: Relations that a pass over the texts stands for, by what the pass reads besides.
+SWEPT = {"token_counts": (), "component_tokens": ("components",), "token_owner": ("components",), "token_cover": ("components",)}
 
 
 Unit = Callable[[DataFrame], DataFrame]
@@ -38,7 +42,7 @@ class _Plans:
     ) -> None:
         self.spark, self.frames = documents.sparkSession, {"documents": documents.select("doc_id", "text")}
         self.given: dict[str, str] = {}
-        self.dialect = Spark(config) if config else SPARK
+        self.dialect = Spark(config, {*given, *units}) if config or given or units else SPARK
         if unknown := (set(given) | set(units)) - set(RELATIONS):
             raise KeyError(f"no relations {', '.join(sorted(unknown))}")
         for n, frame in given.items():
@@ -49,12 +53,23 @@ class _Plans:
             self._give("node_tree", parse_documents(self.frames["documents"]), share and sum(uses(n, "node_tree", self.dialect) for n in names) > 1)
         for n in needed:
             if n in units:
-                self._give(n, units[n](self.frames["documents"] if n == "node_tree" else self.plan(n)), share)
+                self._give(n, units[n](self.frames["documents"] if n == "node_tree" else self._own(n)), share)
             elif share and n in SHARED and n not in self.given and sum(uses(name, n, self.dialect) for name in names if name != n) > 1:
-                self._give(n, self.plan(n), True)
+                self._give(n, self._own(n), True)
+            elif self._is_swept(n):
+                self._give(n, self._own(n), False)
+
+    def _is_swept(self, name: str) -> bool:
+        return name in SWEPT and name not in self.given and RELATIONS[name](self.dialect).startswith("select * from swept")
+
+    def _own(self, name: str) -> DataFrame:
+        """What the library has for a relation."""
+        if self._is_swept(name):
+            return getattr(sweeps, name)(self.frames["documents"], *(self.plan(n) for n in SWEPT[name]))
+        return self.plan(name)
 
     def _give(self, name: str, frame: DataFrame, write: bool) -> None:
-        self.frames[name] = materialised(frame, name) if write else frame
+        self.frames[name] = materialised(frame, name, lean=True) if write else frame
         self.given[name] = f"select * from ::{name}::"
 
     def plan(self, name: str) -> DataFrame:

@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,11 +58,38 @@ def staged_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialised(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again, for a table that several branches of a plan read."""
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What a query shuffles inside is deleted when it ends; otherwise it stays until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def append(df: DataFrame, path: str) -> None:
+    """Add ``df`` to a table in the shared folder."""
+    with _shuffles_dropped(df.sparkSession):
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def materialised(df: DataFrame, label: str, lean: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read again, for a table that several branches of a plan read.
+
+    ``lean`` spares disk: the table is written smaller, and what writing it shuffles is dropped at once.
+    """
     spark = df.sparkSession
     path = staged_path(spark, label)
-    df.write.parquet(path)
+    if lean:
+        append(df, path)
+    else:
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

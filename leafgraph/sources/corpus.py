@@ -212,7 +212,11 @@ def _raw_of(block: Block) -> str:
 
 
 def markdown_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus, dealt by document: its texts are far larger than the rows they are made of, and what reads them goes by document."""
+    """The corpus, dealt by document: its texts are far larger than the rows they are made of, so these are dealt and not the texts."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "orders", "nation")}
-    made = spark.sql(markdown_corpus_sql(SPARK, "{customer}", "{orders}", "{nation}"), **tables)
-    return made.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), "doc_id")
+    tables["customer"] = tables["customer"].select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").repartition(n, "c_custkey")
+    tables["orders"] = tables["orders"].select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"
+    ).repartition(n, "o_custkey")
+    return spark.sql(markdown_corpus_sql(SPARK, "{customer}", "{orders}", "{nation}"), **tables)
