@@ -41,7 +41,7 @@ def test_token_checks(spark, name, monkeypatch):
     same(spark, name, monkeypatch)
 
 
-@pytest.mark.parametrize("name", ["token_failures", "validation_v1"])
+@pytest.mark.parametrize("name", ["token_failures", "validation_v1", "prose_validation"])
 def test_token_checks_make_no_rows_of_tokens(spark, name):
     """No token is a row, and no text is dealt once more."""
     plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
