@@ -17,7 +17,7 @@ from leafgraph.operators.parser import parse_documents
 from leafgraph.plans.dialect import SPARK, Spark
 from leafgraph.plans.relations import RELATIONS, closure, compile_sql, uses
 from leafgraph.plans.rules import LAYER_TYPES
-from leafgraph.session import materialised
+from leafgraph.session import append, materialised, staged_path, unstage
 
 
 #: Relations that a plan which reads them several times writes out once.
@@ -27,6 +27,15 @@ SHARED = ("nodes", "tokens", "marks", "emphasis", "instances", "parents", "compo
 SWEPT = {"token_counts": (), "component_tokens": ("components",), "token_owner": ("components",), "token_cover": ("components",)}
 
 
+#: Relations that need most of the model: what is written for it would be many times the texts, so this relation, and these of
+#: its columns, are worked out for one slice of the documents after another, and the rest is made of that.
+SLICED = {
+    "token_owner": ("components", ("doc_id", "inst_ix", "char_start", "char_end", "component_id")),
+}
+
+#: Characters of a slice.
+SLICE_CHARS = 1 << 26
+
 Unit = Callable[[DataFrame], DataFrame]
 
 
@@ -42,7 +51,7 @@ class _Plans:
     ) -> None:
         self.spark, self.frames = documents.sparkSession, {"documents": documents.select("doc_id", "text")}
         self.given: dict[str, str] = {}
-        self.dialect = Spark(config, {*given, *units}) if config or given or units else SPARK
+        self.dialect = Spark(config, {*given, *units}, given) if config or given or units else SPARK
         if unknown := (set(given) | set(units)) - set(RELATIONS):
             raise KeyError(f"no relations {', '.join(sorted(unknown))}")
         for n, frame in given.items():
@@ -72,6 +81,11 @@ class _Plans:
         self.frames[name] = materialised(frame, name, lean=True) if write else frame
         self.given[name] = f"select * from ::{name}::"
 
+    def drop(self) -> None:
+        """Delete what was written.  Frames of these plans can't be used afterwards."""
+        for frame in self.frames.values():
+            unstage(frame)
+
     def plan(self, name: str) -> DataFrame:
         if name in self.given:
             return self.frames[name]
@@ -99,9 +113,31 @@ def relation(
     """
     if name not in RELATIONS:
         raise KeyError(f"no relation {name!r}; there are {', '.join(sorted(RELATIONS))}")
+    if share and name in SLICED and not given and not units and (slices := _slices(documents)) > 1:
+        whole, columns = SLICED[name]
+        given = {whole: _by_slices(whole, columns, documents, slices, config)}
+        if whole == name:
+            return given[name]
     return _Plans(documents, [name], share, config, given or {}, units or {}).plan(name)
 
 
+def _slices(documents: DataFrame) -> int:
+    chars = documents.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    return -(-chars // SLICE_CHARS)
+
+
+def _by_slices(name: str, columns: Iterable[str], documents: DataFrame, slices: int, config: Config | None) -> DataFrame:
+    """A relation of all documents, of which a slice by document at a time is worked out; what that wrote is deleted before the next."""
+    spark = documents.sparkSession
+    path = staged_path(spark, name)
+    for k in range(slices):
+        plans = _Plans(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(slices)) == k), [name], True, config, {}, {})
+        found = plans.plan(name).select(*columns)
+        append(found, path)
+        plans.drop()
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def nesting_tables(spark: SparkSession, rules_of: Mapping[str, tuple[Iterable[str], int]], leaves: Iterable[str] = ()) -> dict[str, DataFrame]:
     """Nesting rules ``{parent: (children, max depth)}`` as the tables that ``given`` takes."""
     pairs = [(p, c) for p, (children, _) in rules_of.items() for c in children]

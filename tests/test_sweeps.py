@@ -54,3 +54,42 @@ def test_documents_without_ids_and_repeated_ones(spark):
     assert len(got) == 18 and got[1, "V1.5.space"] == 1 and got[2, "V1.5.space"] == 0
     twice = relation("validation_v1", docs.union(docs).where("doc_id = 1"))
     assert twice.count() == 6
+
+
+@pytest.mark.parametrize("name", ["token_owner", "token_cover", "coverage_stats", "component_tokens"])
+def test_tokens_of_components(spark, name, monkeypatch):
+    same(spark, name, monkeypatch)
+
+
+def test_token_owner_makes_no_rows_of_tokens(spark):
+    plan = plan_of(relation("token_owner", documents(spark, *TEXTS)))
+    assert "posexplode" not in plan and "explode(sequence" not in plan
+
+
+def test_owners_of_components_that_are_given(spark):
+    """Places outside the text and empty ones, equal places, and a document that has no components."""
+    docs = documents(spark, "ab cd", "x", "")
+    kinds = [(0, 0, "a", 0, 99), (0, 1, "b", 1, 5), (0, 2, "c", 3, 5), (0, 3, "d", 3, 5), (0, 4, "e", 0, 0), (0, 5, "f", 50, 60), (2, 0, "g", 0, 3)]
+    held = spark.createDataFrame(kinds, "doc_id long, inst_ix int, component_id string, char_start int, char_end int")
+    for name, want in (
+        ("token_owner", [("a", 0, 0), ("b", 0, 1), ("d", 0, 2)]),
+        ("token_cover", [(3, 0, 3, 0), (0, 1, 1, 1)]),
+        ("component_tokens", [("a", 0, 3, 2, 0), ("b", 0, 3, 2, 0), ("c", 0, 1, 2, 2), ("d", 0, 1, 2, 2), ("f", 0, 1, 2, 2)]),
+    ):
+        assert rows(relation(name, docs, given={"components": held})) == sorted(want, key=repr)
+        assert rows(relation(name, docs, given={"components": held}, **AS_ROWS)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("name", ["token_owner"])
+def test_slices_of_documents(spark, name, monkeypatch):
+    """Slices give what the documents give at once, and leave one table: what a slice wrote is gone when it ends."""
+    from leafgraph import operators, session
+
+    docs = documents(spark, *TEXTS)
+    want = rows(relation(name, docs))
+    monkeypatch.setattr(operators, "SLICE_CHARS", 2000)
+    before = set(session._staged)
+    found = relation(name, docs)
+    left = set(session._staged) - before
+    assert [p.rpartition("-")[2] for p in left] == [operators.SLICED[name][0]]
+    assert rows(found) == want and want
