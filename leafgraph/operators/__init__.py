@@ -31,6 +31,7 @@ SWEPT = {"token_counts": (), "component_tokens": ("components",), "token_owner":
 #: its columns, are worked out for one slice of the documents after another, and the rest is made of that.
 SLICED = {
     "step_gates": ("step_gates", ("*",)),
+    "first_failures": ("step_gates", ("*",)),
     "token_owner": ("components", ("doc_id", "inst_ix", "char_start", "char_end", "component_id")),
 }
 
