@@ -33,6 +33,7 @@ SLICED = {
     "step_gates": ("step_gates", ("*",)),
     "first_failures": ("step_gates", ("*",)),
     "token_owner": ("components", ("doc_id", "inst_ix", "char_start", "char_end", "component_id")),
+    "validation_report": ("validation_report", ("*",)),
 }
 
 #: Characters of a slice.

@@ -80,7 +80,7 @@ def test_owners_of_components_that_are_given(spark):
         assert rows(relation(name, docs, given={"components": held}, **AS_ROWS)) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("name", ["token_owner", "step_gates", "first_failures"])
+@pytest.mark.parametrize("name", ["token_owner", "step_gates", "first_failures", "validation_report"])
 def test_slices_of_documents(spark, name, monkeypatch):
     """Slices give what the documents give at once, and leave one table: what a slice wrote is gone when it ends."""
     from leafgraph import operators, session
