@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafgraph.config import Config
-from leafgraph.operators import sweeps
+from leafgraph.operators import counts, sweeps
 from leafgraph.operators.parser import parse_documents
 from leafgraph.plans.dialect import SPARK, Spark
 from leafgraph.plans.relations import RELATIONS, closure, compile_sql, uses
@@ -36,11 +36,16 @@ SLICED = {
     "validation_report": ("validation_report", ("*",)),
 }
 
+#: Of these, the ones that a pass over whole documents counts, unless ids are missing or repeated.
+COUNTED = ("first_failures",)
+
 #: Characters of a slice.
 SLICE_CHARS = 1 << 26
 
 Unit = Callable[[DataFrame], DataFrame]
 
+_WHOLE_NUMBERS = ("bigint", "int", "smallint", "tinyint")
+
 
 class StepError(ValueError):
     """Some documents are stopped at a step."""
@@ -116,12 +121,41 @@ def relation(
     """
     if name not in RELATIONS:
         raise KeyError(f"no relation {name!r}; there are {', '.join(sorted(RELATIONS))}")
-    if share and name in SLICED and not given and not units and (slices := _slices(documents)) > 1:
+    if share and name in COUNTED and not given and not units and dict(documents.dtypes)["doc_id"] in _WHOLE_NUMBERS:
+        return _counted(name, documents, config)
+    if share and name in SLICED and not given and not units:
+        return _sliced(name, documents, config, {})
+    return _Plans(documents, [name], share, config, given or {}, units or {}).plan(name)
+
+
+def _sliced(name: str, documents: DataFrame, config: Config | None, units: Mapping[str, Unit]) -> DataFrame:
+    given: dict[str, DataFrame] = {}
+    if (slices := _slices(documents)) > 1:
         whole, columns = SLICED[name]
-        given = {whole: _by_slices(whole, columns, documents, slices, config)}
+        given, units = {whole: _by_slices(whole, columns, documents, slices, config, units)}, {}
         if whole == name:
             return given[name]
-    return _Plans(documents, [name], share, config, given or {}, units or {}).plan(name)
+    return _Plans(documents, [name], True, config, given, units).plan(name)
+
+
+def _counted(name: str, documents: DataFrame, config: Config | None) -> DataFrame:
+    """A relation of ``COUNTED``.  Documents without an id, or with one that others have too, go through the relations."""
+    counted = materialised(counts.document_counts(documents), SLICED[name][0], lean=True)
+    odd = counted.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").select(F.col("doc_id").alias("odd_id"))
+    is_odd, rest = F.col("doc_id").eqNullSafe(F.col("odd_id")), None
+    if not odd.isEmpty():
+        # gates count rows of tokens there; of the token checks, passes say what the rows' order leaves open
+        units = {} if name == "validation_report" else {"tokens": lambda found: found}
+        rest = _sliced(name, documents.join(odd, is_odd, "left_semi"), config, units)
+        counted = counted.join(odd, is_odd, "left_anti")
+    counted = counted.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))
+    if name == "validation_report":
+        found = counts.validation_report(counted, (config or Config()).tokenization.include_whitespace)
+    else:
+        found = counts.step_gates(counted)
+        if name == "first_failures":
+            found = _Plans(documents, [name], True, config, {"step_gates": found}, {}).plan(name)
+    return found if rest is None else found.unionByName(rest)
 
 
 def _slices(documents: DataFrame) -> int:
@@ -129,12 +163,12 @@ def _slices(documents: DataFrame) -> int:
     return -(-chars // SLICE_CHARS)
 
 
-def _by_slices(name: str, columns: Iterable[str], documents: DataFrame, slices: int, config: Config | None) -> DataFrame:
+def _by_slices(name: str, columns: Iterable[str], documents: DataFrame, slices: int, config: Config | None, units: Mapping[str, Unit]) -> DataFrame:
     """A relation of all documents, of which a slice by document at a time is worked out; what that wrote is deleted before the next."""
     spark = documents.sparkSession
     path = staged_path(spark, name)
     for k in range(slices):
-        plans = _Plans(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(slices)) == k), [name], True, config, {}, {})
+        plans = _Plans(documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(slices)) == k), [name], True, config, {}, units)
         found = plans.plan(name).select(*columns)
         append(found, path)
         plans.drop()
@@ -216,7 +250,7 @@ def analyse(
 def check_schema(documents: DataFrame) -> str | None:
     """What is wrong with the shape of a table of documents (check V1.0), or nothing."""
     kinds = dict(documents.dtypes)
-    wanted = {"doc_id": ("bigint", "int", "smallint", "tinyint"), "text": ("string",)}
+    wanted = {"doc_id": _WHOLE_NUMBERS, "text": ("string",)}
     return next((f"column {c} is {kinds.get(c, 'missing')}" for c, allowed in wanted.items() if kinds.get(c) not in allowed), None)
 
 
