@@ -37,7 +37,7 @@ SLICED = {
 }
 
 #: Of these, the ones that a pass over whole documents counts, unless ids are missing or repeated.
-COUNTED = ("step_gates", "first_failures")
+COUNTED = ("step_gates", "first_failures", "validation_report")
 
 #: Characters of a slice.
 SLICE_CHARS = 1 << 26

@@ -11,7 +11,7 @@ MORE = [
     "```\n\nx\n\n# no\n", "<!-- a\n\nb -->\n\nc\n\n# d", "- a\n\n- b\n\n  c\n\n1. d\n\n2. e\n\ntext", "> a\n\n> b\n\nc", "    x\n\n    y\n\nz", "---\na: b\n\n---\n# x\n\n---\n\n---\n",
     "---\n\nno front", "- ```\n\nx\n\n- y", "*a [b*][x] [c][] `d`\n\n[x]: u", "*a [b*][y] [x][]\n\n> [x]: u", "``a\x85b`` `` c\xa0`` <b\xa0c>", "[^1]: n [^1]\n\nsee [^1]", "a\r\n\r\n# b\r\n",
 ]
-NAMES = ["step_gates", "first_failures"]
+NAMES = ["step_gates", "first_failures", "validation_report"]
 
 
 @pytest.mark.parametrize("name", NAMES)
